@@ -89,7 +89,9 @@ def fit_forest(df: DataFrame, recipe: Recipe) -> PipelineModel:
     check_categories(rows, recipe.categorical)
     if recipe.balanced:
         rows = with_class_weight(rows, recipe.label)
-    return forest_pipeline(recipe).fit(rows)
+    # The copy leaves the training summary behind: it holds the session, and scoring
+    # would have to ship it to the executors.
+    return forest_pipeline(recipe).fit(rows).copy()
 
 
 def feature_names(model: PipelineModel) -> list[str]:

@@ -14,7 +14,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millwright.operators.prefix import cut_points, range_count, with_cut
+from millwright.operators.prefix import cut_points, most_ranges, range_count, with_cut
 
 
 def asof_join(
@@ -64,7 +64,7 @@ def asof_join(
         .agg(F.max("_match").alias("_newest"))
     )
     # Every range, also one without right rows, needs what the earlier ones hand over.
-    ranges = left.sparkSession.range(len(points) + 1).select(F.col("id").alias("_range"))
+    ranges = left.sparkSession.range(most_ranges(points)).select(F.col("id").alias("_range"))
     newest = ranges.join(newest, "_range", "left")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     handed = newest.select("_range", F.last("_newest", ignorenulls=True).over(earlier).alias("_handed"))

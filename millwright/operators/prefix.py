@@ -52,20 +52,23 @@ def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], li
     return points, sorted(set(repeated))
 
 
+def _splits(points: list[float]) -> list[float]:
+    return [-INFINITY, *(points or [0.0]), INFINITY]
+
+
+def most_ranges(points: list[float]) -> int:
+    """One more than the largest range number: the ranges, then NaN, then null."""
+    return len(_splits(points)) + 1
+
+
 def with_cut(df: DataFrame, column: str, points: list[float], name: str) -> DataFrame:
-    """Add the index of the range a row falls into. Equal values share a range."""
+    """Add the index of the range a row falls into. Equal values share a range; null is last."""
     kind = dict(df.dtypes)[column]
     probe = f"{name}_probe"
-    cutter = Bucketizer(
-        splits=[-INFINITY, *points, INFINITY] if points else [-INFINITY, 0.0, INFINITY],
-        inputCol=probe,
-        outputCol=name,
-        handleInvalid="keep",
-    )
+    cutter = Bucketizer(splits=_splits(points), inputCol=probe, outputCol=name, handleInvalid="keep")
     spread = df.withColumn(probe, order_value(F.col(f"`{column}`"), kind))
-    return (
-        cutter.transform(spread).withColumn(name, F.col(name).cast("bigint")).drop(probe)
-    )
+    number = F.coalesce(F.col(name).cast("bigint"), F.lit(most_ranges(points) - 1).cast("bigint"))
+    return cutter.transform(spread).withColumn(name, number).drop(probe)
 
 
 def with_ranges(
@@ -90,7 +93,7 @@ def with_ranges(
     is_repeated = F.coalesce(F.col(f"`{order[0]}`").isin(repeated), F.lit(False))
     inner, _ = cut_points(base.filter(is_repeated), order[1], ranges)
     second = f"{name}_second"
-    after = F.lit(len(inner) + 2)
+    after = F.lit(most_ranges(inner))
     # A repeated value is a cut point, hence the lowest of its range: it goes first.
     return (
         with_cut(cut, order[1], inner, second)
