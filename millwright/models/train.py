@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from millwright.functions.columns import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from millwright.operators.encode import MOST_CATEGORIES
 from millwright.operators.splits import with_class_weight
+from millwright.session import spread
 
 # The forest settings.
 TREES = 100
@@ -87,11 +88,16 @@ def fit_forest(df: DataFrame, recipe: Recipe) -> PipelineModel:
         *recipe.numeric, *recipe.categorical, F.col(f"`{recipe.label}`").cast("int").alias(recipe.label)
     )
     check_categories(rows, recipe.categorical)
+    rows = spread(rows)
     if recipe.balanced:
         rows = with_class_weight(rows, recipe.label)
+    # Each stage reads the rows once more; kept, they are read and filtered once.
+    rows = rows.persist()
     # The copy leaves the training summary behind: it holds the session, and scoring
     # would have to ship it to the executors.
-    return forest_pipeline(recipe).fit(rows).copy()
+    model = forest_pipeline(recipe).fit(rows).copy()
+    rows.unpersist()
+    return model
 
 
 def feature_names(model: PipelineModel) -> list[str]:

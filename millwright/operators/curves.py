@@ -42,7 +42,9 @@ def roc_auc(df: DataFrame, label: str | Column = "label", score: str | Column =
 
 def roc_auc_by(df: DataFrame, by: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """``by..., roc_auc`` per group, e.g. per fold."""
-    rows = df.select(*by, F.col(label).cast("int").alias("truth"), F.col(score).cast("double").alias("score")).na.drop()
+    rows = df.select(*by, F.col(label).cast("int").alias("truth"), F.col(score).cast("double").alias("score")).na.drop(
+        subset=["truth", "score"]
+    )
     steps = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") != 1).alias("neg")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millwright.functions.columns import value_or_null
 from millwright.operators.prefix import union_all
+from millwright.session import spread
 
 # Bins of a histogram, points of a density curve.
 HISTOGRAM_BINS = 30
@@ -18,13 +19,13 @@ DENSITY_POINTS = 200
 
 def _spans(df: DataFrame, columns: list[str]) -> dict[str, dict]:
     """Count, min, max and sample deviation per column: a handful of numbers on the driver."""
-    x = {name: value_or_null(df, name) for name in columns}
-    row = df.agg(
+    numbers = df.select(*[value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)])
+    row = numbers.agg(
         *[
             F.struct(
                 F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_samp(v).alias("std")
-            ).alias(f"_{i}")
-            for i, v in enumerate(x.values())
+            ).alias(v)
+            for v in numbers.columns
         ]
     ).first()
     return {name: row[f"_{i}"].asDict() for i, name in enumerate(columns)}
@@ -36,38 +37,39 @@ def histogram(df: DataFrame, columns: list[str], bins: int = HISTOGRAM_BINS) ->
     Bins are equally wide between min and max, and the max belongs to the last
     one. A constant column fills bin 0 alone. Missing cells are left out.
     """
-    spans = _spans(df, columns)
-    cells = []
-    for name in columns:
-        span, x = spans[name], value_or_null(df, name)
-        if not span["n"]:
-            continue
-        low, high = span["low"], span["high"]
-        width = (high - low) / bins
-        if high > low:
-            spot = F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(float(bins))).cast("int")
-            # ``least`` skips nulls: without the guard a missing cell would fill the last bin.
-            spot = F.when(x.isNotNull(), F.least(spot, F.lit(bins - 1)))
-        else:
-            spot = F.when(x.isNotNull(), F.lit(0))
-        cells.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                spot.alias("bin"),
-                (F.lit(low) + spot * F.lit(width)).alias("bin_low"),
-                (F.lit(low) + (spot + 1) * F.lit(width)).alias("bin_high"),
-            )
-        )
-    if not cells:
+    spans = {name: span for name, span in _spans(df, columns).items() if span["n"]}
+    if not spans:
         return df.sparkSession.createDataFrame(
             [], "column_name string, bin int, bin_low double, bin_high double, rows bigint"
         )
-    return (
-        df.select(F.inline(F.array(*cells)))
+    cells, low, width = [], F.lit(None).cast("double"), F.lit(None).cast("double")
+    for name, span in spans.items():
+        x = F.col(f"`{name}`")
+        extent = span["high"] - span["low"]
+        if extent > 0:
+            spot = F.floor((x - F.lit(span["low"])) / F.lit(extent) * F.lit(float(bins))).cast("int")
+        else:
+            spot = F.lit(0)
+        # ``least`` skips nulls: without the guard a missing cell would fill the last bin.
+        spot = F.when(x.isNotNull(), F.least(spot, F.lit(bins - 1)))
+        cells.append(F.struct(F.lit(name).alias("column_name"), spot.alias("bin")))
+        mine = F.col("column_name") == name
+        low = F.when(mine, F.lit(span["low"])).otherwise(low)
+        width = F.when(mine, F.lit(extent / bins)).otherwise(width)
+    numbers = df.select(*[value_or_null(df, name).alias(name) for name in spans])
+    counts = (
+        numbers.select(F.inline(F.array(*cells)))
         .filter(F.col("bin").isNotNull())
-        .groupBy("column_name", "bin", "bin_low", "bin_high")
+        .groupBy("column_name", "bin")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+    return counts.select(
+        "column_name",
+        "bin",
+        (low + F.col("bin") * width).alias("bin_low"),
+        (low + (F.col("bin") + 1) * width).alias("bin_high"),
+        "rows",
+    )
 
 
 def kernel_density(
@@ -100,7 +102,7 @@ def kernel_density(
             .agg(F.count(F.lit(1)).cast("double").alias("w"))
         )
     else:
-        weighted = df.filter(cells.isNotNull()).select(cells.alias("x"), F.lit(1.0).alias("w"))
+        weighted = spread(df.filter(cells.isNotNull()).select(cells.alias("x"), F.lit(1.0).alias("w")))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grid = (low + step * np.arange(points))[:, None]

@@ -105,6 +105,10 @@ def with_ranges(
     )
 
 
+def _any_null(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns])
+
+
 def _ordering(order: list[str]) -> list[Column]:
     return [F.asc_nulls_last(F.col(f"`{name}`")) for name in order]
 
@@ -145,9 +149,13 @@ def running_totals(
         return _ranged(df, order, sums, number, [], totals, sample_from)
     if hot_rows is None:
         return _zero_first(_plain(df, order, sums, number, group), sums)
+    # A null key is never split. The test is an aggregate, or it would be evaluated per input row.
     heavy = (
-        df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
-    ).na.drop()
+        df.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_n"), F.bool_or(_any_null(group)).alias("_null"))
+        .filter((F.col("_n") > hot_rows) & ~F.col("_null"))
+        .select(*group)
+    )
     if heavy.isEmpty():
         return _zero_first(_plain(df, order, sums, number, group), sums)
     # At most rows / hot_rows keys, so the marks stay small enough to broadcast.

@@ -14,18 +14,18 @@ STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: count, mean, sample deviation, min, max. One pass."""
-    x = {name: value_or_null(df, name) for name in columns}
-    cells = df.agg(
+    numbers = df.select(*[value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)])
+    cells = numbers.agg(
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.count(v).alias("count"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                F.max(v).alias("max"),
+                F.count(f"_{i}").alias("count"),
+                F.avg(f"_{i}").alias("mean"),
+                F.stddev_samp(f"_{i}").alias("std"),
+                F.min(f"_{i}").alias("min"),
+                F.max(f"_{i}").alias("max"),
             ).alias(f"_{i}")
-            for i, (name, v) in enumerate(x.items())
+            for i, name in enumerate(columns)
         ]
     )
     return cells.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
@@ -83,35 +83,61 @@ def only_missing(counts: DataFrame) -> DataFrame:
     return counts.filter("missing_count > 0")
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    bottom = F.stddev_pop(a) * F.stddev_pop(b)
-    # try_divide: a constant column has no correlation, which is null and no error.
-    return F.try_divide(F.covar_pop(a, b), F.when(bottom > 0, bottom))
-
-
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_a, column_b, correlation`` for all ordered pairs, each over its complete rows.
 
-    All pairs of columns are computed in one pass; the diagonal is 1, or null
-    for a constant column. Fewer than two columns give an empty table.
+    Pairs of columns without gaps share one pass and one deviation per column;
+    pairs with gaps need deviations of their own and are summed per pair. The
+    diagonal is 1, or null for a constant column, as is any pair with a constant.
+    Fewer than two columns give an empty table.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
-    x = [value_or_null(df, name) for name in columns]
-    values, cells = [], []
-    for i, a in enumerate(columns):
-        for j in range(i, len(columns)):
-            b = columns[j]
-            slot = f"_{i}_{j}"
-            if i == j:
-                spread = F.stddev_pop(x[i])
-                values.append(F.when(spread > 0, F.lit(1.0)).alias(slot))
-            else:
-                values.append(_pearson(x[i], x[j]).alias(slot))
-            for p, q in {(a, b), (b, a)}:
-                cells.append(
-                    F.struct(F.lit(p).alias("column_a"), F.lit(q).alias("column_b"), F.col(slot).alias("correlation"))
-                )
-    return df.agg(*values).select(F.inline(F.array(*cells)))
+    numbers = df.select(*[value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)])
+    gaps = numbers.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in numbers.columns]
+    ).first()
+    gappy = {i for i in range(len(columns)) if gaps[f"_{i}"] < gaps["n"]}
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    shared = [(i, j) for i, j in pairs if i == j or not {i, j} & gappy]
+    single = [p for p in pairs if p not in shared]
+
+    def shape(i: int, j: int, together: Column, bottom: Column) -> list[Column]:
+        r = F.try_divide(together, F.when(bottom > 0, bottom))
+        return [
+            F.struct(F.lit(columns[p]).alias("column_a"), F.lit(columns[q]).alias("column_b"), r.alias("correlation"))
+            for p, q in sorted({(i, j), (j, i)})
+        ]
+
+    wide = numbers.agg(
+        *[F.stddev_pop(c).alias(f"s{c}") for c in numbers.columns],
+        *[F.covar_pop(f"_{i}", f"_{j}").alias(f"c_{i}_{j}") for i, j in shared if i != j],
+    )
+    cells = [
+        cell
+        for i, j in shared
+        for cell in shape(
+            i, j, F.when(F.col(f"s_{i}") > 0, F.lit(1.0)) if i == j else F.col(f"c_{i}_{j}"),
+            F.lit(1.0) if i == j else F.col(f"s_{i}") * F.col(f"s_{j}"),
+        )
+    ]
+    found = wide.select(F.inline(F.array(*cells)))
+    if not single:
+        return found
+    both = [
+        F.struct(F.lit(k).alias("pair"), F.col(f"_{i}").alias("x"), F.col(f"_{j}").alias("y"))
+        for k, (i, j) in enumerate(single)
+    ]
+    bottom = F.stddev_pop("x") * F.stddev_pop("y")
+    per_pair = (
+        numbers.select(F.inline(F.array(*both)))
+        .filter("x is not null and y is not null")
+        .groupBy("pair")
+        .agg(F.try_divide(F.covar_pop("x", "y"), F.when(bottom > 0, bottom)).alias("correlation"))
+    )
+    names = df.sparkSession.createDataFrame(
+        [(k, columns[p], columns[q]) for k, (i, j) in enumerate(single) for p, q in ((i, j), (j, i))],
+        "pair int, column_a string, column_b string",
+    )
+    named = F.broadcast(names).join(per_pair, "pair", "left").select("column_a", "column_b", "correlation")
+    return found.unionByName(named)

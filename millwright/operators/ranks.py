@@ -1,102 +1,123 @@
 """Exact order statistics without sorting the input.
 
-Rows are counted per slice of the value axis first; only the slices that hold a
-wanted rank are then looked at value by value.
+Each wanted rank is bracketed beforehand. One pass counts the rows outside the
+brackets and keeps the few values inside; should a bracket turn out wrong, the
+lookup is repeated with every value kept. Brackets cost or save time, nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwright.functions.columns import value_or_null
-from millwright.operators.prefix import range_count, with_cut
 
+# Sketch size: a bracket holds about 4 / SKETCH of the rows.
+SKETCH = 50_000
 
-def values_at_ranks(
-    rows: DataFrame, group: str, slice_: str, value: str, ranks: Callable[[Column], Column]
-) -> DataFrame:
-    """``group, n, rank, value`` for the 0-based ranks that ``ranks(n)`` lists per group.
 
-    A rank listed twice comes out twice.
+def merged(brackets: list[tuple]) -> list[tuple]:
+    """Closed intervals in order, overlapping ones joined."""
+    out: list[tuple] = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
 
-    ``slice_`` must never decrease as ``value`` grows. Two passes over ``rows``:
-    counts per slice, then the distinct values of the few slices that matter.
-    """
-    per_slice = rows.groupBy(group, slice_).agg(F.count(F.lit(1)).alias("_rows"))
-    of_group = Window.partitionBy(group)
-    before = of_group.orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
-        per_slice.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .withColumn("n", F.sum("_rows").over(of_group))
-        .withColumn("rank", F.explode(ranks(F.col("n"))))
-        .filter("rank >= _before and rank < _before + _rows")
-        .select(group, slice_, "n", "rank", (F.col("rank") - F.col("_before")).alias("_local"))
-    )
-    # One row per group and rank: bounded by the question, not by the data.
-    slices = F.broadcast(wanted.select(group, slice_).distinct())
-    inside = Window.partitionBy(group, slice_).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    counted = (
-        rows.join(slices, [group, slice_])
-        .groupBy(group, slice_, value)
-        .agg(F.count(F.lit(1)).alias("_same"))
-        .withColumn("_under", F.coalesce(F.sum("_same").over(inside), F.lit(0)))
-    )
-    return (
-        counted.join(F.broadcast(wanted), [group, slice_])
-        .filter("_local >= _under and _local < _under + _same")
-        .select(group, "n", "rank", value)
-    )
 
+def slice_of(value: Column, brackets: list[tuple[Column, Column]]) -> Column:
+    """0 below the first bracket, 1 inside it, 2 between it and the next, and so on."""
+    passed = F.lit(0)
+    for low, high in brackets:
+        passed = passed + F.coalesce((value >= low).cast("int"), F.lit(0))
+        passed = passed + F.coalesce((value > high).cast("int"), F.lit(0))
+    return passed
 
-def percentiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
-    """``column_name, share, value``: exact percentiles, linear between neighbours."""
-    ranges = range_count(df.sparkSession)
-    numbers = df.select(*[value_or_null(df, name).alias(name) for name in columns])
-    cuts = _all_cuts(numbers, columns, ranges)
-    wide = numbers
-    for i, name in enumerate(columns):
-        wide = with_cut(wide, name, cuts[name], f"_slice_{i}")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"`{name}`").alias("value"),
-                F.col(f"_slice_{i}").alias("slice"),
-            )
-            for i, name in enumerate(columns)
-        ]
-    )
-    rows = wide.select(F.inline(cells)).filter(F.col("value").isNotNull())
 
-    def at(n: Column) -> Column:
-        last = (n - 1).cast("double")
-        return F.array_distinct(
-            F.array(*[edge(last * F.lit(p)).cast("bigint") for p in shares for edge in (F.floor, F.ceil)])
-        )
+def values_at_ranks(rows: DataFrame, ranks: dict) -> dict:
+    """The value at each 0-based rank of each group, as ``{group: {rank: value}}``.
 
-    found = values_at_ranks(rows, "column_name", "slice", "value", at)
-    per_column = found.groupBy("column_name").agg(
-        F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    Only groups x ranks values reach the driver. ``rows`` has ``group, slice, value`` with slices as ``slice_of`` numbers them.
+    """
+    ranks = {group: wanted for group, wanted in ranks.items() if wanted}
+    if not ranks:
+        return {}
+    wanted = F.create_map(
+        *chain.from_iterable((F.lit(g), F.array(*[F.lit(r) for r in sorted(set(w))])) for g, w in ranks.items())
     )
 
-    def between(p: float) -> Column:
-        spot = (F.col("n") - 1).cast("double") * F.lit(p)
-        low = F.element_at("at", F.floor(spot).cast("bigint"))
-        high = F.element_at("at", F.ceil(spot).cast("bigint"))
-        return low + (high - low) * (spot - F.floor(spot))
+    def look(keep_all: bool) -> dict:
+        kept = F.col("value") if keep_all else F.when(F.col("slice") % 2 == 1, F.col("value"))
+        counted = rows.groupBy("group", "slice", kept.alias("value")).agg(F.count(F.lit(1)).alias("same"))
+        # One row per group and slice, a few per wanted rank.
+        earlier = Window.partitionBy("group").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counted.groupBy("group", "slice").agg(F.sum("same").alias("rows")).select(
+            "group", "slice", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
+        )
+        lower = (
+            Window.partitionBy("group", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        first = F.col("before") + F.coalesce(F.sum("same").over(lower), F.lit(0))
+        placed = counted.join(F.broadcast(offsets), ["group", "slice"]).withColumn("first", first)
+        hits = placed.filter(
+            F.exists(
+                F.try_element_at(wanted, F.col("group")),
+                lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("same")),
+            )
+        ).collect()
+        found: dict = {g: {} for g in ranks}
+        for hit in hits:
+            for rank in ranks[hit.group]:
+                if hit.first <= rank < hit.first + hit.same and hit.value is not None:
+                    found[hit.group][rank] = hit.value
+        return found
 
-    picked = F.array(
-        *[F.struct(F.lit(p).alias("share"), between(p).alias("value")) for p in shares]
-    )
-    return per_column.select("column_name", F.inline(picked))
+    found = look(keep_all=False)
+    if any(rank not in found[g] for g, w in ranks.items() for rank in w):
+        found = look(keep_all=True)
+    return found
 
 
-def _all_cuts(df: DataFrame, columns: list[str], ranges: int) -> dict[str, list[float]]:
-    shares = [i / ranges for i in range(1, ranges)]
-    sketches = df.agg(
-        *[F.percentile_approx(f"`{c}`", shares, max(10_000, 10 * ranges)).alias(c) for c in columns]
+def percentiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+    """``column_name, share, value``: exact percentiles, linear between neighbours.
+
+    One pass sketches the brackets, one looks the exact values up.
+    """
+    numbers = df.select(*[value_or_null(df, name).alias(name) for name in columns])
+    around = sorted({min(1.0, max(0.0, p + side * 2.0 / SKETCH)) for p in shares for side in (-1, 1)})
+    sketched = numbers.agg(
+        *[
+            F.struct(F.percentile_approx(f"`{c}`", around, SKETCH).alias("at"), F.count(f"`{c}`").alias("n")).alias(f"_{i}")
+            for i, c in enumerate(columns)
+        ]
     ).first()
-    finite = lambda v: v == v and abs(v) != float("inf")
-    return {c: sorted({v for v in (sketches[c] or []) if finite(v)}) for c in columns}
+    ranks, cells = {}, []
+    for i, name in enumerate(columns):
+        at, n = sketched[f"_{i}"]
+        spots = [(n - 1) * p for p in shares] if n else []
+        ranks[i] = sorted({int(edge(s)) for s in spots for edge in (math.floor, math.ceil)})
+        place = dict(zip(around, at or []))
+        edges = [
+            (place[max(0.0, p - 2.0 / SKETCH)], place[min(1.0, p + 2.0 / SKETCH)]) for p in shares
+        ] if n else []
+        value = F.col(f"`{name}`")
+        brackets = [(F.lit(low), F.lit(high)) for low, high in merged(edges)]
+        cells.append(
+            F.struct(F.lit(i).alias("group"), slice_of(value, brackets).alias("slice"), value.alias("value"))
+        )
+    rows = numbers.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    found = values_at_ranks(rows, ranks)
+
+    result = []
+    for i, name in enumerate(columns):
+        n = sketched[f"_{i}"].n
+        at = found.get(i, {})
+        for p in shares if n else []:
+            spot = (n - 1) * p
+            low, high = at[math.floor(spot)], at[math.ceil(spot)]
+            result.append((name, p, low + (high - low) * (spot - math.floor(spot))))
+    return df.sparkSession.createDataFrame(result, "column_name string, share double, value double")

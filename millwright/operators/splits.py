@@ -1,19 +1,19 @@
 """Repeatable splits that keep class shares, without moving the rows.
 
 A row's place is the md5 of its unique key and a seed. Where to cut each class
-is an order statistic of those hashes, found by counting hash prefixes; with the
-cut values as literals the split is a plain filter on every row.
+is an order statistic of those hashes, found among the few hashes near the expected
+place; with the cut values as literals the split is a plain filter on every row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions.text import row_hash
-from millwright.operators.ranks import values_at_ranks
+from millwright.operators.ranks import merged, slice_of, values_at_ranks
 
 # The split settings.
 SEED = 42
@@ -22,8 +22,8 @@ FOLDS = 5
 SAMPLE_ROWS = 500
 
 MOST_CLASSES = 1000
-# Rows one task should sort at most when a cut value is looked up.
-SLICE_ROWS = 200_000
+# Width of the bracket around an expected cut value.
+MOST_DEVIATIONS = 6
 
 
 def class_counts(df: DataFrame, label: str | Column) -> dict:
@@ -65,43 +65,49 @@ def _by_class(label: Column, values: dict[str, Column]) -> Column:
     return F.try_element_at(F.create_map(*pairs), label)
 
 
+def _around(rank: int, n: int) -> tuple[str, str]:
+    """Where the hash of that rank must lie: evenly spread hashes stray by a few deviations at most."""
+    share = (rank + 0.5) / n
+    slack = (MOST_DEVIATIONS * math.sqrt(n * share * (1 - share)) + 2) / n
+    low, high = max(0.0, share - slack), min(1.0, share + slack)
+    return f"{int(low * 16**12):012x}", f"{min(int(high * 16**12), 16**12 - 1):012x}g"
+
+
 def _cuts(
-    df: DataFrame,
-    label: str | None,
-    key: list[str],
-    seed: int,
-    ranks: Callable[[Column], Column],
-    counts: dict[str, int],
+    df: DataFrame, label: str | None, key: list[str], seed: int, ranks: dict[str, list[int]], counts: dict[str, int]
 ) -> dict[str, list[str]]:
     """Hash values at the given ranks of each class, in rank order: classes x cuts strings."""
-    largest = max(counts.values(), default=0)
-    digits = 1
-    while digits < 5 and largest / 16**digits > SLICE_ROWS:
-        digits += 1
+    brackets = {c: merged([_around(r, counts[c]) for r in sorted(set(wanted))]) for c, wanted in ranks.items()}
     group = F.lit("all") if label is None else F.col(f"`{label}`").cast("string")
-    hashed = df.select(group.alias("_class"), row_hash(key, seed).alias("_hash")).filter(
-        "_class is not null"
-    )
-    sliced = hashed.withColumn("_slice", F.substring("_hash", 1, digits))
-    found = values_at_ranks(sliced, "_class", "_slice", "_hash", ranks).collect()
-    cuts: dict[str, list[str]] = {c: [] for c in counts}
-    for row in sorted(found, key=lambda r: r.rank):
-        cuts[row["_class"]].append(row["_hash"])
-    return cuts
+    limits = []
+    for i in range(max((len(b) for b in brackets.values()), default=0)):
+        limits.append(
+            tuple(
+                _by_class(F.col("group"), {c: F.lit(b[i][side]) for c, b in brackets.items() if i < len(b)})
+                for side in (0, 1)
+            )
+        )
+    hashed = df.select(group.alias("group"), row_hash(key, seed).alias("value")).filter("group is not null")
+    sliced = hashed.withColumn("slice", slice_of(F.col("value"), limits))
+    found = values_at_ranks(sliced, ranks)
+    return {c: [found[c][rank] for rank in wanted] for c, wanted in ranks.items()}
 
 
 def _cuts_passed(df: DataFrame, label: str | None, key: list[str], seed: int, cuts) -> Column:
-    """How many of its class's cut values the row's hash lies above."""
+    """How many of its class's cut values the row's hash lies above; null for a null class."""
     group = F.lit("all") if label is None else F.col(f"`{label}`").cast("string")
-    lists = {
-        c: F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
-        for c, values in cuts.items()
-    }
-    mine = _by_class(group, lists)
-    own = row_hash(key, seed)
-    return F.aggregate(
-        mine, F.lit(0), lambda passed, cut: passed + F.when(own > cut, 1).otherwise(0)
-    )
+    limits = []
+    for i in range(max((len(values) for values in cuts.values()), default=0)):
+        if label is None:
+            limits.append(F.lit(cuts["all"][i]))
+        else:
+            limits.append(_by_class(group, {c: F.lit(values[i]) for c, values in cuts.items() if i < len(values)}))
+
+    def passed(own: Column) -> Column:
+        return sum((F.coalesce((own > cut).cast("int"), F.lit(0)) for cut in limits), F.lit(0))
+
+    # The lambda binds the hash, so it is computed once per row, in filters too.
+    return F.when(group.isNotNull(), F.get(F.transform(F.array(row_hash(key, seed)), passed), F.lit(0)))
 
 
 def with_test_flag(
@@ -109,11 +115,8 @@ def with_test_flag(
 ) -> DataFrame:
     """Mark ``round(share * n)`` rows of every class (half up) for testing, first by hash."""
     counts = class_counts(df, label)
-
-    def last_test(n: Column) -> Column:
-        return F.array((F.floor(n * F.lit(share) + 0.5) - 1).cast("bigint"))
-
-    cuts = _cuts(df, label, key, seed, last_test, counts)
+    tested = {c: int(math.floor(n * share + 0.5)) for c, n in counts.items()}
+    cuts = _cuts(df, label, key, seed, {c: [t - 1] if t else [] for c, t in tested.items()}, counts)
     passed = _cuts_passed(df, label, key, seed, cuts)
     some = _by_class(
         F.col(f"`{label}`").cast("string"), {c: F.lit(bool(values)) for c, values in cuts.items()}
@@ -132,16 +135,11 @@ def with_fold(
 ) -> DataFrame:
     """Deal every class evenly into ``folds`` parts: fold = floor((place - 1) * folds / n) by hash."""
     counts = class_counts(df, label)
-
-    def last_of_fold(n: Column) -> Column:
-        # Last 0-based place with floor(place * folds / n) < i.
-        return F.array(
-            *[(F.ceil(n.cast("double") * F.lit(i) / F.lit(folds)) - 1).cast("bigint") for i in range(1, folds)]
-        )
-
     if max(counts.values(), default=0) < folds:
         raise ValueError(f"no class has {folds} rows")
-    cuts = _cuts(df, label, key, seed, last_of_fold, counts)
+    # Last 0-based place with floor(place * folds / n) < i.
+    ends = {c: [-(-n * i // folds) - 1 for i in range(1, folds)] for c, n in counts.items()}
+    cuts = _cuts(df, label, key, seed, ends, counts)
     return df.withColumn(name, _cuts_passed(df, label, key, seed, cuts))
 
 
@@ -162,12 +160,7 @@ def with_prefix_step(
     sizes = [int(f * rows + 1e-9) for f in fractions]
     if sizes != sorted(sizes) or sizes[0] < 1:
         raise ValueError(f"fractions must grow and give at least one row: sizes {sizes}")
-    edges = [s - 1 for s in sizes]
-
-    def last_of_step(n: Column) -> Column:
-        return F.array(*[F.lit(e).cast("bigint") for e in edges])
-
-    cuts = _cuts(df, None, key, seed, last_of_step, {"all": rows})
+    cuts = _cuts(df, None, key, seed, {"all": [s - 1 for s in sizes]}, {"all": rows})
     return df.withColumn(name, _cuts_passed(df, None, key, seed, cuts) + 1)
 
 

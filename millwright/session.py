@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -25,6 +25,16 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over all cores when a small input arrives in fewer splits than that.
+
+    For steps that compute long on each row. Inputs with enough splits are left
+    as they are, so at scale nothing is shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
