@@ -43,8 +43,11 @@ def check_categories(df: DataFrame, columns: list[str], most: int = MOST_CATEGOR
         raise ValueError(f"too many categories, leave out or group: {', '.join(wide)}")
 
 
-def forest_pipeline(recipe: Recipe) -> Pipeline:
-    """The unfitted pipeline. Unseen categories become all-zero slots."""
+def feature_stages(recipe: Recipe) -> list:
+    """Unfitted stages that turn the columns of the recipe into ``features``.
+
+    Unseen categories become all-zero slots; columns not named are left out.
+    """
     stages = []
     parts = []
     if recipe.numeric:
@@ -67,6 +70,11 @@ def forest_pipeline(recipe: Recipe) -> Pipeline:
             OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="error"),
         ]
         parts += hot
+    return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
+
+
+def forest_pipeline(recipe: Recipe) -> Pipeline:
+    """The unfitted pipeline: features, then the forest."""
     forest = RandomForestClassifier(
         labelCol=recipe.label,
         featuresCol="features",
@@ -78,25 +86,27 @@ def forest_pipeline(recipe: Recipe) -> Pipeline:
     )
     if recipe.balanced:
         forest = forest.setWeightCol("weight")
-    stages += [VectorAssembler(inputCols=parts, outputCol="features"), forest]
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[*feature_stages(recipe), forest])
+
 
+def fit_forest(df: DataFrame, recipe: Recipe, kept: bool = False) -> PipelineModel:
+    """Fit preprocessing and forest on ``df``, reading only the columns of the recipe.
 
-def fit_forest(df: DataFrame, recipe: Recipe) -> PipelineModel:
-    """Fit preprocessing and forest on ``df``, reading only the columns of the recipe."""
+    Each stage reads the rows once more, so they are kept meanwhile; ``kept``
+    says that the caller has checked and persisted them already.
+    """
     rows = df.select(
         *recipe.numeric, *recipe.categorical, F.col(f"`{recipe.label}`").cast("int").alias(recipe.label)
     )
-    check_categories(rows, recipe.categorical)
-    rows = spread(rows)
-    if recipe.balanced:
-        rows = with_class_weight(rows, recipe.label)
-    # Each stage reads the rows once more; kept, they are read and filtered once.
-    rows = rows.persist()
+    if not kept:
+        check_categories(rows, recipe.categorical)
+        rows = spread(rows).persist()
+    weighted = with_class_weight(rows, recipe.label) if recipe.balanced else rows
     # The copy leaves the training summary behind: it holds the session, and scoring
     # would have to ship it to the executors.
-    model = forest_pipeline(recipe).fit(rows).copy()
-    rows.unpersist()
+    model = forest_pipeline(recipe).fit(weighted).copy()
+    if not kept:
+        rows.unpersist()
     return model
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millwright.functions.features import with_interactions, with_powers, with_wear_rate
+from millwright.functions.columns import categorical_columns, columns_by_role, numeric_columns
+from millwright.functions.features import engineered, with_interactions, with_powers, with_wear_rate
+from millwright.models.train import Recipe, feature_names, feature_stages
 from millwright.operators.encode import categories, one_hot, one_hot_slot, scale_parameters, scaled
 from millwright.queries.profile import LINE_NUMBERS
 from millwright.queries.views import LINE_KEY, LINE_ORDER, LINE_ROLES, digits, q, table
@@ -57,7 +61,59 @@ def onehot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_hot(lines, labels).select(*LINE_KEY, *names)
 
 
+def select_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the line items, and their text columns joined into one."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(
+        *numeric_columns(lines), F.concat_ws("/", *categorical_columns(lines)).alias("texts")
+    )
+
+
+def engineered_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under raw sensor headers: the roles are found by their text, then engineered."""
+    raw = table(spark, sf_dir, "lineitem").select(
+        *LINE_KEY,
+        F.col("l_discount").alias("Air temperature [K]"),
+        F.col("l_tax").alias("Process temperature [K]"),
+        F.col("l_extendedprice").alias("Rotational speed [rpm]"),
+        F.col("l_quantity").alias("Torque [Nm]"),
+        F.col("l_linenumber").alias("Tool wear [min]"),
+        (F.col("l_returnflag") == "R").cast("int").alias("Machine failure"),
+    )
+    roles = columns_by_role(raw)
+    rich = engineered(raw, roles)
+    return digits(
+        rich.select(
+            *LINE_KEY, "speed_x_torque", "temp_diff", "wear_rate",
+            F.col(f"`{roles['torque']}_squared`").alias("torque_squared"),
+            F.col(f"`{roles['wear']}_cubed`").alias("wear_cubed"),
+            F.col(f"`{roles['target']}`").alias("target"),
+        ),
+        ["speed_x_torque", "temp_diff", "wear_rate"],
+    )
+
+
+def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vector slot by slot: scaled numbers, then one slot per category.
+
+    The pipeline's scaler divides by the sample deviation; trees do not mind.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    recipe = Recipe(numeric=["l_quantity", "l_discount"], categorical=["l_linenumber", "l_returnflag"])
+    train = lines.filter("l_returnflag <> 'N'")
+    model = Pipeline(stages=feature_stages(recipe)).fit(train)
+    names = feature_names(model)
+    dense = model.transform(lines).select(*LINE_KEY, vector_to_array("features").alias("slots"))
+    return digits(
+        dense.select(*LINE_KEY, *[F.get("slots", F.lit(i)).alias(f"f_{n}") for i, n in enumerate(names)]),
+        ["f_l_quantity", "f_l_discount"],
+    )
+
+
 QUERIES = {
+    "select_by_type": select_by_type,
+    "engineered_by_role": engineered_by_role,
+    "feature_columns": feature_columns,
     "features_interaction": features_interaction,
     "features_ratio": features_ratio,
     "features_poly": features_poly,
@@ -76,6 +132,29 @@ def _power(c: str) -> str:
 
 
 ORACLES = {
+    "select_by_type": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+               concat(l_returnflag, '/', l_linestatus) AS texts
+        FROM lineitem
+    """,
+    "engineered_by_role": f"""
+        SELECT {LINE_ORDER}, {q('l_extendedprice * l_quantity')} AS speed_x_torque, {q('l_discount - l_tax')} AS temp_diff,
+               {q('l_linenumber / (l_extendedprice + CAST(1e-8 AS DOUBLE))')} AS wear_rate,
+               l_quantity * l_quantity AS torque_squared,
+               CAST(l_linenumber AS DOUBLE) * l_linenumber * l_linenumber AS wear_cubed,
+               CAST(l_returnflag = 'R' AS INT) AS target
+        FROM lineitem
+    """,
+    "feature_columns": f"""
+        WITH fitted AS (
+            SELECT avg(l_quantity) AS qm, stddev_samp(l_quantity) AS qs, avg(l_discount) AS dm, stddev_samp(l_discount) AS ds
+            FROM lineitem WHERE l_returnflag <> 'N'
+        )
+        SELECT {LINE_ORDER}, {q('(l_quantity - qm) / qs')} AS f_l_quantity, {q('(l_discount - dm) / ds')} AS f_l_discount,
+               {', '.join(f'CAST(l_linenumber = {v} AS DOUBLE) AS f_l_linenumber_{v}' for v in range(1, 8))},
+               {', '.join(f"CAST(l_returnflag = '{v}' AS DOUBLE) AS f_l_returnflag_{v}" for v in 'AR')}
+        FROM lineitem, fitted
+    """,
     "features_interaction": f"""
         SELECT {LINE_ORDER}, {q('l_extendedprice * l_quantity')} AS speed_x_torque,
                {q('l_discount - l_tax')} AS temp_diff

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millwright.functions.clock import TOLERANCE_MINUTES, minutes, moment
 from millwright.functions.columns import present, project, rename, without
 from millwright.operators.asof import asof_join
+from millwright.operators.timeline import with_row_clock
+from millwright.plans.fusion import fuse
+from millwright.queries.timeline import ORACLES as TIMELINE_SQL, flatten_timeline
 from millwright.queries.views import table
 from millwright.session import fresh_path
+from millwright.sources.files import read_csv, write_csv
 from millwright.sources.tables import latest_rows, range_or_latest, read_table, replace_table, scan_range
 
 TOLERANCE = timedelta(minutes=TOLERANCE_MINUTES)
@@ -140,6 +144,31 @@ def table_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).withColumn("rows_written", F.lit(written).cast("bigint"))
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV with a header and timestamps, written and read back by schema."""
+    orders = table(spark, sf_dir, "orders")
+    return read_csv(spark, write_csv(orders, fresh_path(spark, "orders-csv")), orders.schema)
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as CSV, read back with inferred types."""
+    parts = table(spark, sf_dir, "part")
+    return read_csv(spark, write_csv(parts, fresh_path(spark, "part-csv"))).select(
+        F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_brand", "p_type", "p_size", "p_retailprice"
+    )
+
+
+def fused_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain: customers on a clock meet the operations of all orders, stored as a table.
+
+    Every order starts at the same instant, so most operations share few moments.
+    """
+    sensors = with_row_clock(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), ["c_custkey"])
+    path = fresh_path(spark, "fused")
+    replace_table(fuse(sensors, flatten_timeline(spark, sf_dir), TOLERANCE_MINUTES), path)
+    return read_table(spark, path)
+
+
 def rename_project_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = rename(
         table(spark, sf_dir, "lineitem"), {"l_quantity": "torque_Nm", "l_extendedprice": "rot_speed_rpm"}
@@ -173,6 +202,9 @@ QUERIES = {
     "ordered_scan": ordered_scan,
     "head_rows": head_rows,
     "table_replace_roundtrip": table_replace_roundtrip,
+    "csv_roundtrip": csv_roundtrip,
+    "csv_inferred": csv_inferred,
+    "fused_timeline": fused_timeline,
     "rename_project_drop": rename_project_drop,
     "null_filter": null_filter,
 }
@@ -235,6 +267,21 @@ ORACLES = {
                (SELECT count(*) FROM orders) AS rows_written
         FROM orders
     """,
+    "csv_roundtrip": "SELECT * FROM orders",
+    "csv_inferred": "SELECT * FROM part",
+    "fused_timeline": f"""
+        WITH operations AS ({TIMELINE_SQL["flatten_timeline"]}),
+        last_of_moment AS (
+            SELECT "timestamp" AS ts, job_id, task_id, machine_id, setup_time, processing_time FROM (
+                SELECT *, row_number() OVER (PARTITION BY "timestamp" ORDER BY job_id DESC, task_id DESC) AS place
+                FROM operations
+            ) WHERE place = 1
+        ),
+        sensors AS ({TIMELINE_SQL["row_clock"].replace("c_name", "c_acctbal")})
+        SELECT l."timestamp", l.c_custkey, l.c_acctbal, r.job_id, r.task_id, r.machine_id, r.setup_time, r.processing_time
+        FROM sensors l ASOF JOIN last_of_moment r ON l."timestamp" >= r.ts
+        WHERE l."timestamp" - r.ts <= INTERVAL 3 MINUTE
+    """,
     "rename_project_drop": """
         SELECT l_orderkey, l_linenumber, l_quantity AS "torque_Nm", l_extendedprice AS rot_speed_rpm FROM lineitem
     """,

@@ -16,6 +16,8 @@ from millwright.operators.classification import (
 from millwright.operators.curves import pr_points, roc_auc, roc_auc_by, roc_points
 from millwright.operators.splits import size_fractions, with_fold, with_prefix_step
 from millwright.queries.splits import LINE_HASH, LINE_HASH_43
+from millwright.session import fresh_path
+from millwright.sources.reports import write_report
 from millwright.queries.views import EVENT_SCORES, LINE_KEY, LINE_SCORES, digits, event_scores, line_scores, q
 
 
@@ -54,6 +56,12 @@ def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digits(full_report(confusion_matrix(rows), roc_auc(rows)), ["value"], 4)
 
 
+def report_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report written as a table and read back."""
+    paths = write_report({"metrics": metrics_report(spark, sf_dir)}, fresh_path(spark, "reports"), "parquet")
+    return spark.read.parquet(paths["metrics"])
+
+
 def roc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digits(roc_points(line_scores(spark, sf_dir)), ["threshold", "fpr", "tpr"])
 
@@ -112,6 +120,7 @@ QUERIES = {
     "roc_auc": auc_lines,
     "roc_auc_events": auc_events,
     "metrics_report": metrics_report,
+    "metrics_report_stored": report_stored,
     "roc_points": roc_lines,
     "roc_points_events": roc_events,
     "pr_points": pr_lines,
@@ -258,3 +267,5 @@ ORACLES = {
         SELECT step, {q('avg(value)')} AS mean, {q('stddev_pop(value)')} AS std FROM scores GROUP BY step
     """,
 }
+
+ORACLES["metrics_report_stored"] = ORACLES["metrics_report"]

@@ -25,7 +25,7 @@ from millwright.streaming.scoring import REQUEST_SCHEMA, request_stream, score_s
 
 PLAIN = Recipe(balanced=False, trees=20, depth=8)
 BALANCED = Recipe(balanced=True, trees=20, depth=8)
-QUICK = Recipe(balanced=True, trees=5, depth=5)
+QUICK = Recipe(balanced=True, trees=5, depth=4)
 
 SHARED_ROLES = {
     "air": "air_temp_K",
@@ -81,7 +81,7 @@ def cv_engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy against training size: ten sizes, five folds."""
-    points = learning_curve(fused_lines(spark, sf_dir), QUICK, LINE_KEY)
+    points = learning_curve(fused_lines(spark, sf_dir), QUICK, LINE_KEY, parallel=8)
     return mean_and_std(points, ["fraction", "split"])
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millwright.functions.text import digit_cells
-from millwright.operators.timeline import matrix_long, matrix_lookup, operations_timeline, with_row_clock
+from millwright.operators.timeline import matrix_long, matrix_lookup, operations_timeline, shop_floor, with_row_clock
+from millwright.session import fresh_path
+from millwright.sources.files import read_minutes, read_routes
 from millwright.queries.views import LINE_ORDER, table
 
 
@@ -69,7 +71,33 @@ def row_clock_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_clock(lines, ["l_linenumber", "l_orderkey", "l_partkey", "l_suppkey"])
 
 
+def _written(lines: DataFrame, spark: SparkSession, name: str) -> str:
+    path = fresh_path(spark, name)
+    lines.orderBy("vec_id").select("line").write.text(path)
+    return path
+
+
+def shop_floor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as jobs: route and minute files are written, read by line number and unrolled."""
+    vectors = table(spark, sf_dir, "embeddings")
+    machine = lambda factor: (F.lit(1) + (F.col("vec_id") * factor) % 64).cast("string")
+    route = F.when(F.col("label") == 0, F.lit("")).otherwise(
+        F.concat_ws(",", machine(1), F.lit(" x"), machine(7), F.lit(""), F.concat(F.lit(" "), machine(11)))
+    )
+
+    def minutes(factor: int) -> DataFrame:
+        cells = F.transform("embedding", lambda v: F.floor(F.abs(v.cast("double")) * factor).cast("string"))
+        return vectors.select("vec_id", F.concat_ws(",", cells).alias("line"))
+
+    return shop_floor(
+        read_routes(spark, _written(vectors.select("vec_id", route.alias("line")), spark, "routes")),
+        read_minutes(spark, _written(minutes(100), spark, "process")),
+        read_minutes(spark, _written(minutes(10), spark, "setup")),
+    )
+
+
 QUERIES = {
+    "shop_floor_files": shop_floor_files,
     "flatten_timeline": flatten_timeline,
     "route_parse": route_parse,
     "matrix_long": matrix_to_long,
@@ -87,6 +115,27 @@ _CLOCK = """
 """
 
 ORACLES = {
+    "shop_floor_files": """
+        WITH jobs AS (
+            SELECT CAST(row_number() OVER (ORDER BY vec_id) AS INT) AS job_id, embedding,
+                   CASE WHEN label = 0 THEN [] ELSE [1 + vec_id % 64, 1 + (vec_id * 7) % 64, 1 + (vec_id * 11) % 64] END AS route
+            FROM embeddings
+        ),
+        visits AS (
+            SELECT job_id, embedding, CAST(place AS INT) AS task_id, CAST(route[place] AS INT) AS machine_id
+            FROM (SELECT *, unnest(range(1, len(route) + 1)) AS place FROM jobs)
+        ),
+        costs AS (
+            SELECT job_id, task_id, machine_id,
+                   CAST(floor(abs(CAST(embedding[machine_id] AS DOUBLE)) * 10) AS INT) AS setup_time,
+                   CAST(floor(abs(CAST(embedding[machine_id] AS DOUBLE)) * 100) AS INT) AS processing_time
+            FROM visits
+        )
+        SELECT TIMESTAMP '2020-01-01 00:00:00' + to_minutes(CAST(coalesce(sum(setup_time + processing_time) OVER (
+                   PARTITION BY job_id ORDER BY task_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)) AS "timestamp",
+               job_id, task_id, machine_id, setup_time, processing_time
+        FROM costs
+    """,
     "flatten_timeline": """
         SELECT TIMESTAMP '2020-01-01 00:00:00' + to_minutes(CAST(coalesce(sum(l_linenumber + CAST(l_quantity AS INT)) OVER before, 0) AS BIGINT))
                  AS "timestamp",
