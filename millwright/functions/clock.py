@@ -55,4 +55,8 @@ def order_value(column: Column, kind: str) -> Column:
         )
     if kind == "date":
         return F.unix_date(column).cast("double")
+    if kind == "string":
+        # The first six bytes as a number: strings that differ later share it.
+        head = F.substring(F.hex(F.substring(column, 1, 6)), 1, 12)
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
     return column.cast("double")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -18,6 +19,8 @@ from millwright.functions.clock import order_value
 HOT_ROWS = 1_000_000
 # Doubles tell whole numbers apart up to here; beyond it ties are not cut further.
 EXACT_DOUBLE = 2.0**53
+# Tasks that merge the quantile sketches of the input splits.
+SKETCHES = 64
 
 INFINITY = float("inf")
 
@@ -28,28 +31,53 @@ def range_count(spark: SparkSession) -> int:
     return max(8, min(8192, 4 * partitions))
 
 
-def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], list]:
-    """Quantiles of ``column`` as doubles, and the values that fill more than one range.
+def sketch(df: DataFrame, columns: list[str], shares: list[float], resolution: int) -> dict[str, tuple[list[float], int]]:
+    """Approximate quantiles and exact counts of double columns, ``{column: (values, rows)}``.
 
-    One pass with a mergeable sketch; only ``ranges`` numbers reach the driver.
+    Input splits are summarised in ``SKETCHES`` groups, so no single task merges
+    all of them; groups x resolution numbers per column meet on the driver.
     """
-    kind = dict(df.dtypes)[column]
-    shares = [i / ranges for i in range(1, ranges)]
-    accuracy = max(10_000, 10 * ranges)
-    found = (
-        df.agg(F.percentile_approx(F.col(f"`{column}`"), shares, accuracy).alias("raw"))
-        .select("raw", F.transform("raw", lambda v: order_value(v, kind)).alias("points"))
-        .first()
+    fine = [i / resolution for i in range(resolution + 1)]
+    names = {c: f"_{i}" for i, c in enumerate(columns)}
+    rows = (
+        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("_part"))
+        .agg(
+            *[
+                F.struct(F.percentile_approx(f"`{c}`", fine, 4 * resolution).alias("at"), F.count(f"`{c}`").alias("n")).alias(n)
+                for c, n in names.items()
+            ]
+        )
+        .collect()
     )
-    if found is None or not found.raw:
-        return [], []
-    points = sorted({p for p in found.points if p == p and abs(p) != INFINITY})
-    repeated = [
-        found.raw[i]
-        for i in range(1, len(found.raw))
-        if found.raw[i] == found.raw[i - 1] and abs(found.points[i]) < EXACT_DOUBLE
-    ]
-    return points, sorted(set(repeated))
+    found = {}
+    for column, name in names.items():
+        parts = [row[name] for row in rows if row[name].n]
+        if not parts:
+            found[column] = ([], 0)
+            continue
+        values = np.concatenate([p["at"] for p in parts])
+        weights = np.concatenate([np.full(len(p["at"]), p.n / len(p["at"])) for p in parts])
+        order = np.argsort(values, kind="stable")
+        passed = np.cumsum(weights[order])
+        spots = np.searchsorted(passed, np.array(shares) * passed[-1]).clip(0, len(values) - 1)
+        found[column] = (values[order][spots].tolist(), sum(p.n for p in parts))
+    return found
+
+
+def spread_value(df: DataFrame, column: str) -> Column:
+    """The order value of a column, with NaN as null."""
+    value = order_value(F.col(f"`{column}`"), dict(df.dtypes)[column])
+    return F.when(~F.isnan(value), value)
+
+
+def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], list[float]]:
+    """Quantiles of ``column`` as doubles, and those that fill more than one range."""
+    shares = [i / ranges for i in range(1, ranges)]
+    raw, _ = sketch(df.select(spread_value(df, column).alias("v")), ["v"], shares, ranges)["v"]
+    points = sorted({p for p in raw if abs(p) != INFINITY})
+    repeated = {b for a, b in zip(raw, raw[1:]) if a == b and abs(b) < EXACT_DOUBLE}
+    # Different strings may share an order value, so an equal one proves no repeat.
+    return points, [] if dict(df.dtypes)[column] == "string" else sorted(repeated)
 
 
 def _splits(points: list[float]) -> list[float]:
@@ -90,7 +118,7 @@ def with_ranges(
     cut = with_cut(df, order[0], points, name)
     if not repeated or len(order) < 2 or order[1] not in base.columns:
         return cut
-    is_repeated = F.coalesce(F.col(f"`{order[0]}`").isin(repeated), F.lit(False))
+    is_repeated = F.coalesce(spread_value(df, order[0]).isin(repeated), F.lit(False))
     inner, _ = cut_points(base.filter(is_repeated), order[1], ranges)
     second = f"{name}_second"
     after = F.lit(most_ranges(inner))

@@ -13,9 +13,11 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwright.functions.columns import value_or_null
+from millwright.operators.prefix import HOT_ROWS, running_totals, sketch
 
-# Sketch size: a bracket holds about 4 / SKETCH of the rows.
-SKETCH = 50_000
+# Steps of the quantile sketch, and how many of them a bracket reaches to either side.
+RESOLUTION = 10_000
+MARGIN = 3
 
 
 def merged(brackets: list[tuple]) -> list[tuple]:
@@ -38,10 +40,12 @@ def slice_of(value: Column, brackets: list[tuple[Column, Column]]) -> Column:
     return passed
 
 
-def values_at_ranks(rows: DataFrame, ranks: dict) -> dict:
+def values_at_ranks(rows: DataFrame, ranks: dict, inside: float) -> dict:
     """The value at each 0-based rank of each group, as ``{group: {rank: value}}``.
 
-    Only groups x ranks values reach the driver. ``rows`` has ``group, slice, value`` with slices as ``slice_of`` numbers them.
+    ``rows`` has ``group, slice, value`` with slices as ``slice_of`` numbers them.
+    Only groups x ranks values reach the driver. ``inside`` is the number of rows
+    expected in the largest bracket; a large one is not left to one task.
     """
     ranks = {group: wanted for group, wanted in ranks.items() if wanted}
     if not ranks:
@@ -58,11 +62,16 @@ def values_at_ranks(rows: DataFrame, ranks: dict) -> dict:
         offsets = counted.groupBy("group", "slice").agg(F.sum("same").alias("rows")).select(
             "group", "slice", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
         )
-        lower = (
-            Window.partitionBy("group", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        placed = running_totals(
+            counted,
+            ["value"],
+            sums={"lower": F.col("same")},
+            group=["group", "slice"],
+            hot_rows=HOT_ROWS if keep_all or inside > HOT_ROWS else None,
+        )
+        placed = placed.join(F.broadcast(offsets), ["group", "slice"]).withColumn(
+            "first", F.col("before") + F.col("lower")
         )
-        first = F.col("before") + F.coalesce(F.sum("same").over(lower), F.lit(0))
-        placed = counted.join(F.broadcast(offsets), ["group", "slice"]).withColumn("first", first)
         hits = placed.filter(
             F.exists(
                 F.try_element_at(wanted, F.col("group")),
@@ -88,33 +97,26 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataF
     One pass sketches the brackets, one looks the exact values up.
     """
     numbers = df.select(*[value_or_null(df, name).alias(name) for name in columns])
-    around = sorted({min(1.0, max(0.0, p + side * 2.0 / SKETCH)) for p in shares for side in (-1, 1)})
-    sketched = numbers.agg(
-        *[
-            F.struct(F.percentile_approx(f"`{c}`", around, SKETCH).alias("at"), F.count(f"`{c}`").alias("n")).alias(f"_{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
+    reach = MARGIN / RESOLUTION
+    around = [min(1.0, max(0.0, p + side * reach)) for p in shares for side in (-1, 1)]
+    sketched = sketch(numbers, columns, around, RESOLUTION)
     ranks, cells = {}, []
     for i, name in enumerate(columns):
-        at, n = sketched[f"_{i}"]
+        at, n = sketched[name]
         spots = [(n - 1) * p for p in shares] if n else []
         ranks[i] = sorted({int(edge(s)) for s in spots for edge in (math.floor, math.ceil)})
-        place = dict(zip(around, at or []))
-        edges = [
-            (place[max(0.0, p - 2.0 / SKETCH)], place[min(1.0, p + 2.0 / SKETCH)]) for p in shares
-        ] if n else []
         value = F.col(f"`{name}`")
-        brackets = [(F.lit(low), F.lit(high)) for low, high in merged(edges)]
+        brackets = [(F.lit(low), F.lit(high)) for low, high in merged(list(zip(at[::2], at[1::2])))]
         cells.append(
             F.struct(F.lit(i).alias("group"), slice_of(value, brackets).alias("slice"), value.alias("value"))
         )
     rows = numbers.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-    found = values_at_ranks(rows, ranks)
+    largest = max((n for _, n in sketched.values()), default=0)
+    found = values_at_ranks(rows, ranks, 2 * reach * largest * len(shares))
 
     result = []
     for i, name in enumerate(columns):
-        n = sketched[f"_{i}"].n
+        n = sketched[name][1]
         at = found.get(i, {})
         for p in shares if n else []:
             spot = (n - 1) * p

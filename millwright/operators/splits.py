@@ -89,7 +89,8 @@ def _cuts(
         )
     hashed = df.select(group.alias("group"), row_hash(key, seed).alias("value")).filter("group is not null")
     sliced = hashed.withColumn("slice", slice_of(F.col("value"), limits))
-    found = values_at_ranks(sliced, ranks)
+    inside = 2 * MOST_DEVIATIONS * math.sqrt(max(counts.values(), default=0)) * max((len(w) for w in ranks.values()), default=0)
+    found = values_at_ranks(sliced, ranks, inside)
     return {c: [found[c][rank] for rank in wanted] for c, wanted in ranks.items()}
 
 
@@ -149,19 +150,27 @@ def size_fractions(steps: int = 10) -> list[float]:
 
 
 def with_prefix_step(
-    df: DataFrame, key: list[str], fractions: list[float], seed: int = SEED, name: str = "step"
+    df: DataFrame,
+    key: list[str],
+    fractions: list[float],
+    seed: int = SEED,
+    name: str = "step",
+    within: Column | None = None,
 ) -> DataFrame:
     """Add the number of the smallest nested prefix a row belongs to (from 1).
 
     Prefix i holds the first ``floor(fractions[i-1] * n)`` rows by hash, so the
-    rows with ``step <= i`` are the i-th training part.
+    rows with ``step <= i`` are the i-th training part. With ``within`` only the
+    rows that meet it count and get a number.
     """
-    rows = df.count()
+    base = df if within is None else df.filter(within)
+    rows = base.count()
     sizes = [int(f * rows + 1e-9) for f in fractions]
     if sizes != sorted(sizes) or sizes[0] < 1:
         raise ValueError(f"fractions must grow and give at least one row: sizes {sizes}")
-    cuts = _cuts(df, None, key, seed, {"all": [s - 1 for s in sizes]}, {"all": rows})
-    return df.withColumn(name, _cuts_passed(df, None, key, seed, cuts) + 1)
+    cuts = _cuts(base, None, key, seed, {"all": [s - 1 for s in sizes]}, {"all": rows})
+    step = _cuts_passed(df, None, key, seed, cuts) + 1
+    return df.withColumn(name, step if within is None else F.when(within, step))
 
 
 def fixed_sample(df: DataFrame, key: list[str], rows: int = SAMPLE_ROWS, seed: int = SEED) -> DataFrame:

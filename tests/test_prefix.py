@@ -73,3 +73,12 @@ def test_infinities_and_nan_keep_their_place(spark):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a double, b int")
     rows = running_totals(df, ["a", "b"], number="place").collect()
     assert {r.b: r.place for r in rows} == {i: i + 1 for i in range(len(values))}
+
+
+def test_text_order(spark):
+    rng = random.Random(4)
+    values = sorted({"".join(rng.choice("abé7") for _ in range(rng.randrange(12))) for _ in range(900)}, key=lambda v: v.encode())
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v string").repartition(4)
+    for group in ([], ["g"]):
+        rows = running_totals(df, ["v"], number="place", group=group, hot_rows=1).collect()
+        assert {r.v: r.place for r in rows} == {v: i + 1 for i, v in enumerate(values)}

@@ -92,3 +92,16 @@ def test_class_weights_golden(spark):
     df = spark.createDataFrame([(0,)] * 1932 + [(1,)] * 68, "y int")
     assert {r.label: r.weight for r in class_weights(df, "y").collect()} == {0: 2000 / (2 * 1932), 1: 2000 / (2 * 68)}
     assert with_class_weight(df, "y").filter("y = 1").first().weight == 2000 / (2 * 68)
+
+
+def test_repeated_keys_share_their_place(spark):
+    """A third of the rows with one key: the expected places are wrong, the cut hashes still right."""
+    df = spark.createDataFrame([(0 if i % 3 == 0 else i, 0) for i in range(3000)], "k int, y int")
+    folds = {}
+    for r in with_fold(df, "y", ["k"]).collect():
+        folds.setdefault(r.k, set()).add(r.fold)
+    assert all(len(f) == 1 for f in folds.values()) and {f for s in folds.values() for f in s} <= set(range(5))
+    rows = by_hash(df.collect())
+    for place in (0, 500, 1700, 2999):
+        if rows[place].k:
+            assert folds[rows[place].k] == {place * 5 // 3000}
