@@ -16,7 +16,7 @@ from millwright.functions.columns import value_or_null
 from millwright.operators.prefix import HOT_ROWS, running_totals, sketch
 
 # Steps of the quantile sketch, and how many of them a bracket reaches to either side.
-RESOLUTION = 10_000
+RESOLUTION = 2_000
 MARGIN = 3
 
 
