@@ -46,7 +46,9 @@ def plus_minutes(start: Column, count: Column) -> Column:
 
 def order_value(column: Column, kind: str) -> Column:
     """A double that never decreases as ``column`` grows. Used to spread rows, not to compare them."""
-    if kind in ("timestamp_ntz", "timestamp"):
+    if kind == "timestamp":
+        return F.unix_micros(column).cast("double")
+    if kind == "timestamp_ntz":
         return (
             F.unix_date(column.cast("date")).cast("double") * 86400.0
             + F.hour(column) * 3600.0

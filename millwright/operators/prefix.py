@@ -7,6 +7,7 @@ decide only how evenly the work spreads, never the result.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -19,6 +20,8 @@ from millwright.functions.clock import order_value
 HOT_ROWS = 1_000_000
 # Doubles tell whole numbers apart up to here; beyond it ties are not cut further.
 EXACT_DOUBLE = 2.0**53
+# Heavy keys whose marks are broadcast; with more of them the planner chooses the join.
+MOST_MARKS = 100_000
 # Tasks that merge the quantile sketches of the input splits.
 SKETCHES = 64
 
@@ -75,14 +78,15 @@ def spread_value(df: DataFrame, column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], list[float]]:
-    """Quantiles of ``column`` as doubles, and those that fill more than one range."""
+def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], dict[float, int]]:
+    """Quantiles of ``column`` as doubles, and how many ranges the repeated ones fill."""
     shares = [i / ranges for i in range(1, ranges)]
     raw, _ = sketch(df.select(spread_value(df, column).alias("v")), ["v"], shares, ranges)["v"]
     points = sorted({p for p in raw if abs(p) != INFINITY})
-    repeated = {b for a, b in zip(raw, raw[1:]) if a == b and abs(b) < EXACT_DOUBLE}
     # Different strings may share an order value, so an equal one proves no repeat.
-    return points, [] if dict(df.dtypes)[column] == "string" else sorted(repeated)
+    if dict(df.dtypes)[column] == "string":
+        return points, {}
+    return points, {v: n for v, n in Counter(raw).items() if n > 1 and abs(v) < EXACT_DOUBLE}
 
 
 def _splits(points: list[float]) -> list[float]:
@@ -123,8 +127,8 @@ def with_ranges(
     cut = with_cut(df, order[0], points, name)
     if not repeated or len(order) < 2 or order[1] not in base.columns:
         return cut
-    is_repeated = F.coalesce(spread_value(df, order[0]).isin(repeated), F.lit(False))
-    inner, _ = cut_points(base.filter(is_repeated), order[1], ranges)
+    is_repeated = F.coalesce(spread_value(df, order[0]).isin(list(repeated)), F.lit(False))
+    inner, _ = cut_points(base.filter(is_repeated), order[1], sum(repeated.values()))
     second = f"{name}_second"
     after = F.lit(most_ranges(inner))
     # A repeated value is a cut point, hence the lowest of its range: it goes first.
@@ -189,10 +193,11 @@ def running_totals(
         .filter((F.col("_n") > hot_rows) & ~F.col("_null"))
         .select(*group)
     )
-    if heavy.isEmpty():
+    keys = heavy.limit(MOST_MARKS + 1).count()
+    if keys == 0:
         return _zero_first(_plain(df, order, sums, number, group), sums)
-    # At most rows / hot_rows keys, so the marks stay small enough to broadcast.
-    marked = df.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), group, "left")
+    marks = heavy.withColumn("_heavy", F.lit(True))
+    marked = df.join(F.broadcast(marks) if keys <= MOST_MARKS else marks, group, "left")
     light = marked.filter(F.col("_heavy").isNull()).drop("_heavy")
     hot = marked.filter("_heavy").drop("_heavy")
     done = _ranged(hot, order, sums, number, group, False, None)
@@ -218,9 +223,7 @@ def _ranged(df, order, sums, number, group, totals, sample_from) -> DataFrame:
     if totals:
         carried += [F.sum(f"_part_{n}").over(whole).alias(f"{n}_total") for n in sums]
     offsets = per_range.select(*keys, *carried)
-    if not group:
-        offsets = F.broadcast(offsets)
-
+    # The rows already lie and sort by these keys after their window: nothing moves again.
     joined = local.join(offsets, keys, "left")
     kinds = dict(joined.dtypes)
     added = {
