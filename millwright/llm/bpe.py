@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from millwright.llm.stored import schema_with
+
 #: Fixed value: the pattern that cuts text into words; white space is Unicode's property.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -64,10 +66,15 @@ class Vocabulary:
         self.longest = max(map(len, self.suffixes))
         self.cut = regex.compile(PATTERN).findall
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
-        self.split = regex.compile(f"({'|'.join(names)})").split if names else lambda text: [text]
+        self.split = regex.compile(f"({'|'.join(names)})").split if names else self.unsplit
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def unsplit(text: str) -> list[str]:
+        """A text as one part: special tokens in it are ordinary text."""
+        return [text]
+
     def merge(self, word: bytes) -> list[int]:
         """The encoding of a short word straight from the merge ranks; decides on pairs."""
         ids = [self.ids[word[i : i + 1]] for i in range(len(word))]
@@ -154,10 +161,11 @@ def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[list[str]]:
         yield group
 
 
-def encoded(vocab: Vocabulary, texts: list[str]) -> Iterator[bytes]:
+def encoded(vocab: Vocabulary, texts: list[str], plain_specials: bool = False) -> Iterator[bytes]:
     """The ids of each text; words are met once for a group of texts."""
+    split, special = (vocab.unsplit, {}) if plain_specials else (vocab.split, vocab.special)
     for group in groups(texts):
-        cut = [[part if part in vocab.special else vocab.cut(part) for part in vocab.split(t) if part] for t in group]
+        cut = [[part if part in special else vocab.cut(part) for part in split(t) if part] for t in group]
         distinct = set(chain.from_iterable(part for parts in cut for part in parts if isinstance(part, list)))
         if len(vocab.known) > REMEMBERED:
             vocab.known.clear()
@@ -165,16 +173,19 @@ def encoded(vocab: Vocabulary, texts: list[str]) -> Iterator[bytes]:
         for parts in cut:
             yield b"".join(
                 b"".join(map(vocab.known.__getitem__, part)) if isinstance(part, list)
-                else np.array([vocab.special[part]], "<u4").tobytes()
+                else np.array([special[part]], "<u4").tobytes()
                 for part in parts
             )
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode_texts(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", plain_specials: bool = False
+) -> DataFrame:
     """Add the token ids of each whole text, as bytes of little-endian unsigned 32-bit integers.
 
     A null text counts as empty and has no ids; a text of any length is encoded whole.
-    Repeated rows are encoded each. Columns named ``ids`` must not exist yet.
+    Repeated rows are encoded each. With ``plain_specials`` the spelling of a special
+    token is ordinary text. Columns named ``ids`` must not exist yet.
     """
     if ids in docs.columns:
         raise ValueError(f"there is a column {ids!r} already")
@@ -183,11 +194,10 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids
         vocab = vocabulary(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            column = pa.array(encoded(vocab, texts), pa.binary())
+            column = pa.array(encoded(vocab, texts, plain_specials), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
 
-    schema = docs.schema.add(ids, "binary")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema_with(docs, f"{ids} binary"))
 
 
 def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

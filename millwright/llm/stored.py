@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from millwright.session import fresh_path
 
@@ -22,5 +23,6 @@ def only_keys(df: DataFrame, keys: DataFrame, on: list[str], count: int) -> Data
     return df.join(F.broadcast(keys) if count <= SENT_KEYS else keys, on, "left_semi")
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def schema_with(df: DataFrame, more: str) -> StructType:
+    """The columns of ``df`` and those of the definition ``more``."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])

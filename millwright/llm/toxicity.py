@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.llm.labelled import held_out, labelled_sample
+from millwright.llm.stored import schema_with
 from millwright.llm.text import LOWER, NOT_LETTER, flat, mixed, prefix_sums, slices, span_hashes, words
 
 BITS = 18
@@ -224,8 +225,8 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text") -> Da
             columns = [*batch.columns, pa.array(np.concatenate(scores), pa.float64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "spans"])
 
-    schema = docs.schema.add("score", "double").add("spans", "array<struct<start:bigint,end:bigint,score:double>>")
-    return docs.mapInArrow(run, schema)
+    found = "score double, spans array<struct<start: bigint, end: bigint, score: double>>"
+    return docs.mapInArrow(run, schema_with(docs, found))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
