@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -26,3 +30,32 @@ def only_keys(df: DataFrame, keys: DataFrame, on: list[str], count: int) -> Data
 def schema_with(df: DataFrame, more: str) -> StructType:
     """The columns of ``df`` and those of the definition ``more``."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows cut anew so that no group is divided: about ``rows`` rows, or one larger group."""
+    def merged(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        while held and sum(b.num_rows for b in held) >= rows:
+            table = merged(held)
+            fresh = np.zeros(table.num_rows - 1, bool)
+            for key in keys:
+                column = table.column(table.schema.get_field_index(key)).to_numpy()
+                fresh |= column[1:] != column[:-1]
+            ends = np.flatnonzero(fresh) + 1
+            held = [table]
+            if not len(ends):
+                break  # one group so far: it may go on in the next batch
+            early = ends[ends <= rows]
+            end = int(early[-1] if len(early) else ends[0])
+            yield table.slice(0, end)
+            held = [table.slice(end)]
+            if held[0].num_rows < rows:
+                break
+    if held:
+        yield merged(held)
