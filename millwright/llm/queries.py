@@ -29,7 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_domain(docs: DataFrame) -> DataFrame:
-    """``domain``, dealt by the source's name."""
+    """``domain``, dealt by the source's name; a column of that name is used as it is."""
+    if "domain" in docs.columns:
+        return docs
     names = F.array(*[F.lit(d) for d in DOMAINS])
     at = F.pmod(F.length("source") + F.ascii(F.substring("source", -1, 1)), F.lit(len(DOMAINS)))
     return docs.withColumn("domain", F.coalesce(F.get(names, at), F.lit("web")))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millwright.llm.stored import only_keys, written
+from millwright.llm.stored import SENT_KEYS, only_keys, whole_groups, written
 from millwright.llm.text import flat, mixed, powers, prefix_sums, slices, span_hashes
 
 GRAM = 32
@@ -152,26 +152,7 @@ def border_cover(contexts: DataFrame, length: int) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-            while held and sum(b.num_rows for b in held) >= TOGETHER:
-                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                gram = table.column(0).to_numpy()
-                # Rows come sorted by gram; the last group may go on in the next batch.
-                ends = np.flatnonzero(gram[1:] != gram[:-1]) + 1
-                if not len(ends):
-                    held = [table]
-                    break
-                over = ends[ends <= TOGETHER]
-                end = int(over[-1] if len(over) else ends[0])
-                yield cover(table.slice(0, end))
-                held = [table.slice(end)]
-        if held:
-            table = pa.Table.from_batches(held).combine_chunks()
-            if table.num_rows:
-                yield cover(table.to_batches()[0])
+        yield from map(cover, whole_groups(batches, ["gram"], TOGETHER))
 
     near = contexts.repartition("gram").sortWithinPartitions("gram")
     return near.mapInArrow(run, "row long, low int, high int")
@@ -251,13 +232,15 @@ def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with their ``spans`` (null where nothing is covered); only documents with spans are shuffled."""
-    keyed = docs.withColumn("_row", row_key())
-    keys = found.select(F.col("row").alias("_row"))
+    """``docs`` with ``_repeat_spans`` (null where nothing is covered); only documents with spans are shuffled."""
+    keyed = docs.withColumn("_repeat_row", row_key())
+    keys = found.select(F.col("row").alias("_repeat_row"))
     few = found.count()
-    hit = only_keys(keyed, keys, ["_row"], few).join(found.withColumnRenamed("row", "_row"), "_row")
-    rest = keyed.join(F.broadcast(keys) if few <= 500_000 else keys, "_row", "left_anti")
-    return hit.drop("_row").unionByName(rest.drop("_row"), allowMissingColumns=True)
+    hit = only_keys(keyed, keys, ["_repeat_row"], few).join(
+        found.select(F.col("row").alias("_repeat_row"), F.col("spans").alias("_repeat_spans")), "_repeat_row"
+    )
+    rest = keyed.join(F.broadcast(keys) if few <= SENT_KEYS else keys, "_repeat_row", "left_anti")
+    return hit.drop("_repeat_row").unionByName(rest.drop("_repeat_row"), allowMissingColumns=True)
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -286,7 +269,7 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_spans(slim, covered(slim, length)).select("doc_id", "text", "spans").mapInArrow(
+    return with_spans(slim, covered(slim, length)).select("doc_id", "text", "_repeat_spans").mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -302,14 +285,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
-            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
+            spans = batch.column(batch.schema.get_field_index("_repeat_spans")).to_pylist()
             for i, found in enumerate(spans):
                 if found:
                     texts[i] = kept_bytes(texts[i].encode(), joined_spans(found)).decode("utf-8", "ignore")
             batch = batch.set_column(at, "text", pa.array(texts, pa.string()))
             yield batch.select(names)
 
-    out = with_spans(docs, covered(docs, length)).select(*names, "spans").mapInArrow(run, docs.schema)
+    out = with_spans(docs, covered(docs, length)).select(*names, "_repeat_spans").mapInArrow(run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
