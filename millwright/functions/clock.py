@@ -44,8 +44,11 @@ def plus_minutes(start: Column, count: Column) -> Column:
     )
 
 
-def order_value(column: Column, kind: str) -> Column:
-    """A double that never decreases as ``column`` grows. Used to spread rows, not to compare them."""
+def order_value(column: Column, kind: str, shared: str = "") -> Column:
+    """A double that never decreases as ``column`` grows. Used to spread rows, not to compare them.
+
+    ``shared`` is what most texts begin with; what follows it tells them apart.
+    """
     if kind == "timestamp":
         return F.unix_micros(column).cast("double")
     if kind == "timestamp_ntz":
@@ -58,7 +61,10 @@ def order_value(column: Column, kind: str) -> Column:
     if kind == "date":
         return F.unix_date(column).cast("double")
     if kind == "string":
-        # The first six bytes as a number: strings that differ later share it.
-        head = F.substring(F.hex(F.substring(column, 1, 6)), 1, 12)
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+        # Six bytes as a number: strings that differ later share it.
+        rest = F.substring(column, len(shared) + 1, 6)
+        head = F.conv(F.rpad(F.substring(F.hex(rest), 1, 12), 12, "0"), 16, 10).cast("double")
+        if not shared:
+            return head
+        return F.when(column.startswith(shared), head).when(column < shared, -1.0).otherwise(F.when(column.isNotNull(), 2.0**48))
     return column.cast("double")

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from millwright.functions.columns import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from millwright.operators.encode import MOST_CATEGORIES
 from millwright.operators.splits import with_class_weight
-from millwright.session import spread
 
 # The forest settings.
 TREES = 100
@@ -31,13 +30,19 @@ class Recipe:
     depth: int = 15
     bins: int = 64
     seed: int = SEED
+    #: Parts the rows are dealt to by their values; with the seed they alone decide the bags.
+    partitions: int = 32
 
 
 def check_categories(df: DataFrame, columns: list[str], most: int = MOST_CATEGORIES) -> None:
     """Raise before an id-like column turns into millions of one-hot slots."""
     if not columns:
         return
-    seen = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in columns]).first()
+    seen = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in columns]).first().asDict()
+    # An estimate decides only far from the limit.
+    close = [c for c in columns if 0.8 * most < seen[c] < 1.25 * most]
+    if close:
+        seen |= df.agg(*[F.count_distinct(f"`{c}`").alias(c) for c in close]).first().asDict()
     wide = [c for c in columns if seen[c] > most]
     if wide:
         raise ValueError(f"too many categories, leave out or group: {', '.join(wide)}")
@@ -89,6 +94,12 @@ def forest_pipeline(recipe: Recipe) -> Pipeline:
     return Pipeline(stages=[*feature_stages(recipe), forest])
 
 
+def arranged(rows: DataFrame, partitions: int) -> DataFrame:
+    """The rows in a layout that depends on their values alone, not on how they came."""
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.repartition(partitions, *names).sortWithinPartitions(*names)
+
+
 def fit_forest(df: DataFrame, recipe: Recipe, kept: bool = False) -> PipelineModel:
     """Fit preprocessing and forest on ``df``, reading only the columns of the recipe.
 
@@ -100,7 +111,7 @@ def fit_forest(df: DataFrame, recipe: Recipe, kept: bool = False) -> PipelineMod
     )
     if not kept:
         check_categories(rows, recipe.categorical)
-        rows = spread(rows).persist()
+        rows = arranged(rows, recipe.partitions).persist()
     weighted = with_class_weight(rows, recipe.label) if recipe.balanced else rows
     # The copy leaves the training summary behind: it holds the session, and scoring
     # would have to ship it to the executors.

@@ -6,23 +6,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.operators.prefix import union_all
 
+MOST_CLASSES = 1000
 REPORT_SCHEMA = "section string, label string, metric string, value double"
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple = (0, 1)
+    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple | None = (0, 1)
 ) -> DataFrame:
-    """``label, prediction, rows`` for every pair of classes, empty cells included."""
+    """``label, prediction, rows`` for every pair of classes, empty cells included.
+
+    Without ``classes`` they are read from both columns (``MOST_CLASSES`` at most). A
+    null, or a class that is not among ``classes``, is an error: no row is left out.
+    """
+    if classes is None:
+        both = df.select(F.explode(F.array(label, prediction)).alias("c")).distinct()
+        classes = tuple(sorted(r.c for r in both.filter("c is not null").limit(MOST_CLASSES + 1).collect()))
+        if len(classes) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes")
+    known = F.col(label).isin(*classes) & F.col(prediction).isin(*classes)
+    others = F.count_if(~F.coalesce(known, F.lit(False))).alias("_others")
+    error = F.raise_error(F.concat(F.col("_others").cast("string"), F.lit(f" rows with a class that is not in {list(classes)}")))
     pairs = [(a, b) for a in classes for b in classes]
     counts = [
         F.count_if((F.col(label) == a) & (F.col(prediction) == b)).alias(f"_{i}")
         for i, (a, b) in enumerate(pairs)
     ]
     cells = [
-        F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"_{i}").alias("rows"))
+        F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.when(F.col("_others") == 0, F.col(f"_{i}")).otherwise(error).alias("rows"))
         for i, (a, b) in enumerate(pairs)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*cells)))
+    return df.agg(*counts, others).select(F.inline(F.array(*cells)))
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

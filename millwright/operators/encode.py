@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from millwright.functions.columns import value_or_null
 
 # More categories than this point to an id column, not to a category.
-MOST_CATEGORIES = 10_000
+MOST_CATEGORIES = 100_000
 
 
 def scale_parameters(df: DataFrame, columns: list[str]) -> DataFrame:

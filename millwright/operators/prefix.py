@@ -7,6 +7,7 @@ decide only how evenly the work spreads, never the result.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from functools import reduce
 
@@ -72,16 +73,24 @@ def sketch(df: DataFrame, columns: list[str], shares: list[float], resolution: i
     return found
 
 
-def spread_value(df: DataFrame, column: str) -> Column:
+def shared_beginning(df: DataFrame, column: str) -> str:
+    """What all values of a text column begin with; empty for other types."""
+    if dict(df.dtypes)[column] != "string":
+        return ""
+    ends = df.agg(F.min(f"`{column}`").alias("low"), F.max(f"`{column}`").alias("high")).first()
+    return os.path.commonprefix([ends.low or "", ends.high or ""])
+
+
+def spread_value(df: DataFrame, column: str, shared: str = "") -> Column:
     """The order value of a column, with NaN as null."""
-    value = order_value(F.col(f"`{column}`"), dict(df.dtypes)[column])
+    value = order_value(F.col(f"`{column}`"), dict(df.dtypes)[column], shared)
     return F.when(~F.isnan(value), value)
 
 
-def cut_points(df: DataFrame, column: str, ranges: int) -> tuple[list[float], dict[float, int]]:
+def cut_points(df: DataFrame, column: str, ranges: int, shared: str = "") -> tuple[list[float], dict[float, int]]:
     """Quantiles of ``column`` as doubles, and how many ranges the repeated ones fill."""
     shares = [i / ranges for i in range(1, ranges)]
-    raw, _ = sketch(df.select(spread_value(df, column).alias("v")), ["v"], shares, ranges)["v"]
+    raw, _ = sketch(df.select(spread_value(df, column, shared).alias("v")), ["v"], shares, ranges)["v"]
     points = sorted({p for p in raw if abs(p) != INFINITY})
     # Different strings may share an order value, so an equal one proves no repeat.
     if dict(df.dtypes)[column] == "string":
@@ -98,12 +107,12 @@ def most_ranges(points: list[float]) -> int:
     return len(_splits(points)) + 1
 
 
-def with_cut(df: DataFrame, column: str, points: list[float], name: str) -> DataFrame:
+def with_cut(df: DataFrame, column: str, points: list[float], name: str, shared: str = "") -> DataFrame:
     """Add the index of the range a row falls into. Equal values share a range; null is last."""
     kind = dict(df.dtypes)[column]
     probe = f"{name}_probe"
     cutter = Bucketizer(splits=_splits(points), inputCol=probe, outputCol=name, handleInvalid="keep")
-    spread = df.withColumn(probe, order_value(F.col(f"`{column}`"), kind))
+    spread = df.withColumn(probe, order_value(F.col(f"`{column}`"), kind, shared))
     number = F.coalesce(F.col(name).cast("bigint"), F.lit(most_ranges(points) - 1).cast("bigint"))
     return cutter.transform(spread).withColumn(name, number).drop(probe)
 
@@ -123,17 +132,20 @@ def with_ranges(
     spark = df.sparkSession
     ranges = ranges or range_count(spark)
     base = df if sample_from is None else sample_from
-    points, repeated = cut_points(base, order[0], ranges)
-    cut = with_cut(df, order[0], points, name)
+    shared = shared_beginning(base, order[0])
+    points, repeated = cut_points(base, order[0], ranges, shared)
+    cut = with_cut(df, order[0], points, name, shared)
     if not repeated or len(order) < 2 or order[1] not in base.columns:
         return cut
     is_repeated = F.coalesce(spread_value(df, order[0]).isin(list(repeated)), F.lit(False))
-    inner, _ = cut_points(base.filter(is_repeated), order[1], sum(repeated.values()))
+    again = base.filter(is_repeated)
+    shared = shared_beginning(again, order[1])
+    inner, _ = cut_points(again, order[1], sum(repeated.values()), shared)
     second = f"{name}_second"
     after = F.lit(most_ranges(inner))
     # A repeated value is a cut point, hence the lowest of its range: it goes first.
     return (
-        with_cut(cut, order[1], inner, second)
+        with_cut(cut, order[1], inner, second, shared)
         .withColumn(
             name,
             F.col(name) * (after + 1) + F.when(is_repeated, F.col(second)).otherwise(after),

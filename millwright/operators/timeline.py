@@ -39,15 +39,16 @@ def cell(array: Column, position: Column, what: Column) -> Column:
     """The 1-based cell of an array; a position outside it, or an empty cell, is an error."""
     inside = (position >= 1) & (position <= F.size(array))
     picked = F.get(array, position - 1)
+    named = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
     return F.when(inside & picked.isNotNull(), picked).otherwise(
-        F.raise_error(F.concat(F.lit("no value at position "), position.cast("string"), F.lit(" for "), what))
+        F.raise_error(F.concat(F.lit("no value at position "), named(position), F.lit(" for "), named(what)))
     )
 
 
 def matrix_lookup(requests: DataFrame, matrix: DataFrame, key: str, position: str, array: str, value: str):
-    """Fetch one matrix cell per request row, joining on ``key``."""
+    """Fetch one matrix cell per request row, joining on ``key``; an unknown key is an error."""
     what = F.concat(F.lit(f"{key} "), F.col(key).cast("string"))
-    return requests.join(matrix.select(key, array), key).select(
+    return requests.join(matrix.select(key, array), key, "left").select(
         *[F.col(c) for c in requests.columns], cell(F.col(array), F.col(position), what).alias(value)
     )
 

@@ -111,8 +111,20 @@ def size_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digits(mean_and_std(scores, ["step"]), ["mean", "std"])
 
 
+def _line_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        (F.col("l_linenumber") % 3).cast("int").alias("label"), (F.col("l_quantity").cast("int") % 3).cast("int").alias("prediction")
+    )
+
+
+def confusion_three_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes found in the data."""
+    return confusion_matrix(_line_classes(spark, sf_dir), classes=None)
+
+
 QUERIES = {
     "confusion": confusion,
+    "confusion_three_classes": confusion_three_classes,
     "confusion_empty_cells": confusion_empty_cells,
     "class_report": report,
     "report_text": report_text,
@@ -217,6 +229,11 @@ _FOLDED = f"""
 """
 
 ORACLES = {
+    "confusion_three_classes": """
+        WITH c(k) AS (VALUES (0), (1), (2)),
+        rows AS (SELECT l_linenumber % 3 AS label, CAST(trunc(l_quantity) AS INTEGER) % 3 AS prediction FROM lineitem)
+        SELECT a.k AS label, b.k AS prediction, count(r.label) AS rows
+        FROM c a CROSS JOIN c b LEFT JOIN rows r ON r.label = a.k AND r.prediction = b.k GROUP BY a.k, b.k""",
     "confusion": _confusion_sql(LINE_SCORES),
     "confusion_empty_cells": _confusion_sql(f"SELECT label, 0 AS prediction FROM ({LINE_SCORES})"),
     "class_report": f"{_report_sql(LINE_SCORES)} SELECT label, metric, {q('value')} AS value FROM report",

@@ -65,6 +65,11 @@ def row_clock_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_clock(table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
 
 
+def row_clock_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered by a text whose values begin alike."""
+    return with_row_clock(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_name"])
+
+
 def row_clock_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A leading key with a handful of values: each fills many ranges and is cut along the next key."""
     lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_orderkey", "l_partkey", "l_suppkey")
@@ -104,6 +109,7 @@ QUERIES = {
     "matrix_lookup": lookup,
     "row_clock": row_clock,
     "row_clock_gaps": row_clock_gaps,
+    "row_clock_text": row_clock_text,
     "row_clock_ties": row_clock_ties,
 }
 
@@ -167,6 +173,7 @@ ORACLES = {
         SELECT vec_id, CAST(1 + vec_id % 64 AS INT) AS machine_id, embedding[1 + vec_id % 64] AS minutes FROM embeddings
     """,
     "row_clock": _CLOCK.format(order="c_custkey", columns="c_custkey, c_name", table="customer"),
+    "row_clock_text": _CLOCK.format(order="c_name", columns="c_custkey, c_name", table="customer"),
     "row_clock_gaps": _CLOCK.format(order="doc_id", columns="doc_id, quality", table="labels"),
     "row_clock_ties": _CLOCK.format(
         order="l_linenumber, l_orderkey, l_partkey, l_suppkey",

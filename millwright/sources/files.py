@@ -36,9 +36,12 @@ OPERATION_SCHEMA = T.StructType(
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV with a header. Without a schema the types are inferred (one more pass)."""
-    reader = spark.read.option("header", True).option("timestampNTZFormat", NTZ_FORMAT)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """A CSV with a header. Without a schema the types are inferred (one more pass).
+
+    A cell that does not fit its type is an error, unless another of the reader's modes is asked for.
+    """
+    reader = spark.read.option("header", True).option("mode", mode).option("timestampNTZFormat", NTZ_FORMAT)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
