@@ -40,7 +40,7 @@ def word_rows(data: np.ndarray, offsets: np.ndarray):
     data = LOWER[data]
     starts, ends, ranges = words(data, offsets, NOT_LETTER)
     sums = prefix_sums(data)
-    rows = np.zeros((1 + len(HEADS), len(starts)), np.int64)
+    rows = np.zeros((1 + len(HEADS), len(starts)), np.int32)
     rows[0] = (span_hashes(sums, starts, ends) >> np.uint64(64 - BITS)).astype(np.int64)
     for i, size in enumerate(HEADS, 1):
         long = np.flatnonzero(ends - starts > size)
@@ -109,8 +109,10 @@ class ToxicModel:
         inner[ranges[:-1][ranges[:-1] < ranges[1:]]] = False
         at = np.flatnonzero(inner)
         a, f = ahead[at - 1], odds[at] * back[at]
-        cells = np.stack([t[0, 0] * np.ones(len(at)), t[0, 1] * f, t[1, 0] * a, t[1, 1] * a * f])
-        return marginal, at, (cells / cells.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        both = a * f
+        share = 1 / (t[0, 0] + t[0, 1] * f + t[1, 0] * a + t[1, 1] * both)
+        cells = [share.sum(), (f * share).sum(), (a * share).sum(), (both * share).sum()]
+        return marginal, at, t * np.array(cells).reshape(2, 2)
 
     def score(self, data: np.ndarray, offsets: np.ndarray):
         """Score of each text, and its spans as (text, start, end, score) in bytes of ``data``."""
@@ -173,6 +175,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 30, rate: float = 1.0
     encoded = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in encoded])])
     rows, _, _, ranges = word_rows(np.frombuffer(b"".join(encoded), np.uint8), offsets)
+    del encoded
     if not rows.shape[1]:
         return model
     truth = word_labels(rows, ranges, toxic).astype(float)
