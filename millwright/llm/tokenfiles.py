@@ -12,31 +12,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millwright.llm.bpe import encode_texts
+from millwright.llm.bpe import encoded, vocabulary
 from millwright.llm.stored import written
 
 BLOCK_TOKENS = 1 << 20
 END = 50256
 KIND = "<u2"
 DOCS_PER_FILE = 20_000
+DOCS_AT_ONCE = 1000
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end: int = END) -> None:
+def write_token_files(docs: DataFrame, path: str, folder: str, end: int = END) -> None:
     """Encode the texts and write them to ``folder`` as flat files of unsigned 16-bit ids.
 
     Documents keep their order within a file. A null or empty text leaves its end only.
     """
+    def narrow(ids: bytes) -> bytes:
+        wide = np.frombuffer(ids, "<u4")
+        if len(wide) and (wide.max() > 65535 or (wide == end).any()):
+            raise ValueError("an id is the end-of-document id or does not fit 16 bits")
+        return wide.astype(KIND).tobytes()
+
     def run(batches):
+        vocab = vocabulary(path)
         for batch in batches:
-            narrow = []
-            for ids in batch.column(0).to_pylist():
-                wide = np.frombuffer(ids, "<u4")
-                if len(wide) and (wide.max() > 65535 or (wide == end).any()):
-                    raise ValueError("an id is the end-of-document id or does not fit 16 bits")
-                narrow.append(wide.astype(KIND).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(narrow, pa.binary())], ["ids"])
-
-    ids = encode_texts(docs.select("text"), vocabulary, plain_specials=True).select("ids").mapInArrow(run, "ids binary")
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                texts = [t or "" for t in batch.column(0).slice(at, DOCS_AT_ONCE).to_pylist()]
+                cells = [narrow(ids) for ids in encoded(vocab, texts, plain_specials=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary())], ["ids"])
+
+    ids = docs.select("text").mapInArrow(run, "ids binary")
     # The line writer puts the bytes of each row and then the separator: here the end's two bytes.
     mark = np.array([end], KIND).tobytes().decode("latin-1")
     ids.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", mark).option("encoding", "ISO-8859-1").option(
