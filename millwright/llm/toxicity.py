@@ -24,7 +24,7 @@ from millwright.llm.text import LOWER, NOT_LETTER, flat, mixed, prefix_sums, sli
 
 BITS = 18
 TOXIC_FROM = 0.5
-SLICE = 8_000_000
+SLICE = 2_000_000
 #: Share of toxic documents among those with a word, and how many documents, to call the word toxic.
 PURITY = 0.8
 LEAST_DOCS = 6
