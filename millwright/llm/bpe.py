@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from millwright.llm.stored import schema_with
+from millwright.llm.stored import in_batches, schema_with
 
 #: Fixed value: the pattern that cuts text into words; white space is Unicode's property.
 PATTERN = (
@@ -197,7 +197,7 @@ def encode_texts(
             column = pa.array(encoded(vocab, texts, plain_specials), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
 
-    return docs.mapInArrow(run, schema_with(docs, f"{ids} binary"))
+    return in_batches(docs, run, schema_with(docs, f"{ids} binary"))
 
 
 def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,4 +223,5 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    slim = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    return in_batches(slim, run, schema).withColumnRenamed("key", key)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.llm.components import components
-from millwright.llm.stored import only_keys, whole_groups, written
+from millwright.llm.stored import in_batches, only_keys, whole_groups, written
 from millwright.llm.text import flat, mixed, shingle_hashes, slices
 
 REGISTERS = 128
@@ -112,7 +112,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, n_shingles long, sig1 long, sig2 long, registers binary"
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return in_batches(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, schema)
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -149,8 +149,8 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, packed: bool = False) -> D
     kind_of_key = docs.schema["key"].dataType.simpleString()
     schema = f"key {kind_of_key}, sig1 long, shingles {'binary' if packed else 'array<bigint>'}"
     wanted = classes.select("key", "sig1")
-    read = only_keys(docs.select("key", "text"), wanted.select("key"), ["key"], wanted.count()).mapInArrow(run, schema)
-    return read.join(wanted, ["key", "sig1"]).dropDuplicates(["key"]).select("key", "shingles")
+    read = only_keys(docs.select("key", "text"), wanted.select("key"), ["key"], wanted.count())
+    return in_batches(read, run, schema).join(wanted, ["key", "sig1"]).dropDuplicates(["key"]).select("key", "shingles")
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "na", "rb", "nb")
     kind = pairs.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return in_batches(joined, run, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def ties(members: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pandas(tied_rows(batch.to_pandas()), preserve_index=False)
 
     near = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return near.mapInArrow(run, f"key {kind}, component {kind}, tie {kind}")
+    return in_batches(near, run, f"key {kind}, component {kind}, tie {kind}")
 
 
 def tied_rows(frame: pd.DataFrame) -> pd.DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millwright.llm.stored import written
+from millwright.llm.stored import in_batches, written
 
 ROW_BLOCK = 16_384
 QUERY_BLOCK = 1024
@@ -80,8 +80,8 @@ def index(embeddings: DataFrame, seed: int = 7) -> DataFrame:
                 ["vec_id", "size", "code", "own", "vector"],
             )
 
-    table = usable.withColumn("vec_id", F.col("vec_id").cast("long")).mapInArrow(
-        run, "vec_id long, size int, code binary, own double, vector binary"
+    table = in_batches(
+        usable.withColumn("vec_id", F.col("vec_id").cast("long")), run, "vec_id long, size int, code binary, own double, vector binary"
     )
     return table.dropDuplicates(["vec_id"])
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.llm.labelled import held_out, labelled_sample
-from millwright.llm.stored import schema_with
+from millwright.llm.stored import in_batches, schema_with
 from millwright.llm.text import flat, mixed, prefix_sums, slices, span_hashes, words
 
 BITS = 18
@@ -134,7 +134,7 @@ def score_quality(
             column = pa.array(np.concatenate([np.empty(0), *parts]), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, score])
 
-    return docs.mapInArrow(run, schema_with(docs, f"{score} double"))
+    return in_batches(docs, run, schema_with(docs, f"{score} double"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:

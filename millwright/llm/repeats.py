@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millwright.llm.stored import SENT_KEYS, only_keys, whole_groups, written
+from millwright.llm.stored import SENT_KEYS, in_batches, only_keys, whole_groups, written
 from millwright.llm.text import flat, mixed, powers, prefix_sums, slices, span_hashes
 
 GRAM = 32
@@ -95,7 +95,7 @@ def anchor_table(docs: DataFrame, length: int) -> DataFrame:
                 )
 
     texts = docs.select(row_key().alias("row"), "text").filter(F.octet_length("text") >= length)
-    return texts.mapInArrow(run, "row long, anchor int, low int, high int, gram long, span long")
+    return in_batches(texts, run, "row long, anchor int, low int, high int, gram long, span long")
 
 
 def context_table(texts: DataFrame, length: int) -> DataFrame:
@@ -114,7 +114,7 @@ def context_table(texts: DataFrame, length: int) -> DataFrame:
                     names,
                 )
 
-    return texts.mapInArrow(run, "gram long, row long, low int, high int, whole boolean, context binary")
+    return in_batches(texts, run, "gram long, row long, low int, high int, whole boolean, context binary")
 
 
 def strings_of(batch: pa.RecordBatch, length: int):
@@ -155,7 +155,7 @@ def border_cover(contexts: DataFrame, length: int) -> DataFrame:
         yield from map(cover, whole_groups(batches, ["gram"], TOGETHER))
 
     near = contexts.repartition("gram").sortWithinPartitions("gram")
-    return near.mapInArrow(run, "row long, low int, high int")
+    return in_batches(near, run, "row long, low int, high int")
 
 
 def crowd_cover(contexts: DataFrame, length: int) -> DataFrame:
@@ -173,7 +173,7 @@ def crowd_cover(contexts: DataFrame, length: int) -> DataFrame:
                 ["string", "row", "low", "whole"],
             )
 
-    strings = contexts.mapInArrow(run, "string long, row long, low int, whole boolean")
+    strings = in_batches(contexts, run, "string long, row long, low int, whole boolean")
     again = strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
     return strings.filter("not whole").join(again, "string").select("row", "low", (F.col("low") + length).alias("high"))
 
@@ -269,7 +269,8 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_spans(slim, covered(slim, length)).select("doc_id", "text", "_repeat_spans").mapInArrow(
+    return in_batches(
+        with_spans(slim, covered(slim, length)).select("doc_id", "text", "_repeat_spans"),
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -292,7 +293,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             batch = batch.set_column(at, "text", pa.array(texts, pa.string()))
             yield batch.select(names)
 
-    out = with_spans(docs, covered(docs, length)).select(*names, "_repeat_spans").mapInArrow(run, docs.schema)
+    out = in_batches(with_spans(docs, covered(docs, length)).select(*names, "_repeat_spans"), run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

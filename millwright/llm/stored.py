@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,10 @@ from millwright.session import fresh_path
 
 #: Most keys (of at most 16 bytes) that a join may send to every executor; more are joined by a shuffle.
 SENT_KEYS = 500_000
+#: Bytes of a batch that Spark sends to Python, about; a longer row is a batch of its own.
+BATCH_BYTES = 4_000_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_OWN = "67108864b"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -27,6 +31,18 @@ def only_keys(df: DataFrame, keys: DataFrame, on: list[str], count: int) -> Data
     return df.join(F.broadcast(keys) if count <= SENT_KEYS else keys, on, "left_semi")
 
 
+def in_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches of bounded bytes: ten thousand long texts do not stand in memory at once.
+
+    Spark reads the bound when the job starts, so it stays set in the session. A bound that
+    the session has set itself is kept; only Spark's own is replaced.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, SPARKS_OWN) == SPARKS_OWN:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def schema_with(df: DataFrame, more: str) -> StructType:
     """The columns of ``df`` and those of the definition ``more``."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millwright.llm.bpe import encoded, vocabulary
-from millwright.llm.stored import written
+from millwright.llm.stored import in_batches, written
 
 BLOCK_TOKENS = 1 << 20
 END = 50256
@@ -41,7 +41,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end: int = END) -
                 cells = [narrow(ids) for ids in encoded(vocab, texts, plain_specials=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary())], ["ids"])
 
-    ids = docs.select("text").mapInArrow(run, "ids binary")
+    ids = in_batches(docs.select("text"), run, "ids binary")
     # The line writer puts the bytes of each row and then the separator: here the end's two bytes.
     mark = np.array([end], KIND).tobytes().decode("latin-1")
     ids.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", mark).option("encoding", "ISO-8859-1").option(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.llm.labelled import held_out, labelled_sample
-from millwright.llm.stored import schema_with
+from millwright.llm.stored import in_batches, schema_with
 from millwright.llm.text import LOWER, NOT_LETTER, flat, mixed, prefix_sums, slices, span_hashes, words
 
 BITS = 18
@@ -229,7 +229,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "spans"])
 
     found = "score double, spans array<struct<start: bigint, end: bigint, score: double>>"
-    return docs.mapInArrow(run, schema_with(docs, found))
+    return in_batches(docs, run, schema_with(docs, found))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
