@@ -31,9 +31,9 @@ GRAM = 32
 LENGTH = 400
 PLACE = np.uint64((1 << 31) - 1)
 #: Contexts with one first rank that a task compares at once; larger groups are counted by a shuffle.
-MOST_TOGETHER = 50_000
+MOST_TOGETHER = 5_000
 #: Contexts that are compared at once if their groups are small.
-TOGETHER = 8_000
+TOGETHER = 2_000
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
