@@ -31,7 +31,7 @@ PATTERN = (
 )
 #: Words and pairs remembered by a Python worker between batches; beyond it they are computed anew.
 REMEMBERED = 400_000
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
