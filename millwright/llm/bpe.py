@@ -30,7 +30,7 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Words and pairs remembered by a Python worker between batches; beyond it they are computed anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 GROUP_CHARS = 1_000_000
 
 

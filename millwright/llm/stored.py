@@ -14,7 +14,7 @@ from millwright.session import fresh_path
 #: Most keys (of at most 16 bytes) that a join may send to every executor; more are joined by a shuffle.
 SENT_KEYS = 500_000
 #: Bytes of a batch that Spark sends to Python, about; a longer row is a batch of its own.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 SPARKS_OWN = "67108864b"
 
