@@ -129,6 +129,8 @@ def strings_of(batch: pa.RecordBatch, length: int):
 
 def runs_of(owner: np.ndarray, within: np.ndarray):
     """First and last of each run of consecutive strings of one context."""
+    if not len(owner):
+        return owner, owner
     fresh = np.ones(len(owner), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (within[1:] != within[:-1] + 1)
     first = np.flatnonzero(fresh)

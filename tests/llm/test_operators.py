@@ -204,6 +204,18 @@ def test_repeats_match_the_definition(spark, most_together):
         assert own == cover, key
 
 
+@pytest.mark.parametrize("most_together", [repeats.MOST_TOGETHER, 2])
+def test_repeats_just_below_the_length_are_left_alone(spark, most_together):
+    draw = np.random.default_rng(11)
+    letters = lambda n: "".join(draw.choice(list("abcdefgh "), n))
+    passage = letters(63)
+    texts = [letters(70) + chr(ord("A") + i) + passage + chr(ord("a") + i) + letters(70) for i in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert repeats.covered(df, 64, most_together).isEmpty()
+    digests = repeats.repeat_digests(df, 64).collect()
+    assert len(digests) == 8 and {(r.n_removed, r.n_spans) for r in digests} == {(0, 0)}
+
+
 def test_repeat_digests_on_documents(docs):
     got = {r.doc_id: r for r in repeats.repeat_digests(docs).collect()}
     texts = {k: t.encode() for k, t in texts_of(docs).items()}
