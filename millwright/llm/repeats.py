@@ -185,19 +185,15 @@ def covered(docs: DataFrame, length: int = LENGTH, most_together: int = MOST_TOG
     if length < GRAM:
         raise ValueError(f"strings of at least {GRAM} bytes are needed, not {length}")
     places = written(anchor_table(docs, length), "anchors")
-    spans = places.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(F.struct("row", "low")).alias("lead"))
+    spans = places.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(F.struct("row", "low", "high")).alias("lead"))
     grams = spans.groupBy("gram").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).filter("all > 1")
     ranked = written(spans.join(grams, "gram"), "ranks")
     whole = places.join(ranked.filter("n > 1").select("gram", "span"), ["gram", "span"]).select(
         "row", "low", (F.col("high") + length).alias("high")
     )
     # One context for each different span of a gram; those found whole above only testify.
-    border = (
-        places.join(ranked.filter("kinds > 1").select("gram", "span", "n", "kinds", "lead"), ["gram", "span"])
-        .filter("row = lead.row and low = lead.low").dropDuplicates(["gram", "span"])
-    )
-    border = border.groupBy("row").agg(
-        F.collect_list(F.struct("gram", "low", "high", (F.col("n") > 1).alias("whole"), "kinds")).alias("places")
+    border = ranked.filter("kinds > 1").groupBy("lead.row").agg(
+        F.collect_list(F.struct("gram", "lead.low", "lead.high", (F.col("n") > 1).alias("whole"))).alias("places")
     )
     border = written(border, "borders")
     texts = docs.select(row_key().alias("row"), "text")
