@@ -25,11 +25,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    placed = written(near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "copies")
-    copies = F.broadcast(placed) if placed.count() <= SENT_KEYS else placed
-    named = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    return named
+    """One row of each group of near copies: the one with the smallest id, null ids last.
+
+    Each row has a number of its own, written with the rows, so that rows without an id and rows
+    that repeat one are told apart. A row that is in no group stays.
+    """
+    tie = F.xxhash64("doc_id", "text")
+    numbered = written(docs.withColumns({"_row": F.monotonically_increasing_id(), "_tie": tie}), "numbered")
+    found = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_tie", "_row")
+    placed = written(found.join(numbered.select("_row", "_tie", "doc_id"), "_row"), "groups")
+    first = placed.groupBy("_group").agg(F.min(place).alias("first")).select("first._row")
+    copies = written(placed.select("_row").join(first, "_row", "left_anti"), "copies")
+    sent = F.broadcast(copies) if copies.count() <= SENT_KEYS else copies
+    return numbered.join(sent, "_row", "left_anti").select(*docs.columns)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -344,5 +344,22 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert corpus_pipeline.unrepeated(spark, corpus_pipeline.good_quality(spark, extra, sf_dir), sf_dir).columns == extra.columns
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, sf_dir):
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(200))
+    rows = [
+        (None, text(0)), (None, text(0)), (None, text(0)),  # only null ids
+        (5, text(1)), (5, text(1)), (None, text(1)), (7, text(1)),  # a repeated row, a null id and another id
+        (3, text(2)), (8, text(2)), (8, text(3)),  # one id with a copy and with a text of its own
+        (None, text(4)), (9, text(5)), (9, None), (None, ""),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.first_copies(spark, frame, sf_dir)
+    same = lambda df: sorted([tuple(r) for r in df.collect()], key=repr)
+    want = [(None, text(0)), (5, text(1)), (3, text(2)), (8, text(3)), (None, text(4)), (9, text(5)), (9, None), (None, "")]
+    assert kept.columns == frame.columns and same(kept) == sorted(want, key=repr)
+    # One row of each text is left, so the next stage has nothing to cut.
+    assert same(corpus_pipeline.unrepeated(spark, kept, sf_dir)) == sorted(want, key=repr)
+
+
 def test_registered(spark):
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
