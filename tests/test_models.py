@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millwright.functions.columns import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from millwright.models import explain
 from millwright.models.explain import mean_attributions, node_table, shap_values
 from millwright.models.score import feature_arrays, score, score_csv
 from millwright.models.train import Recipe, check_categories, feature_names, fit_forest, importances
@@ -153,6 +154,16 @@ def test_shap_adds_up_and_all_rows_can_be_asked_for(fused, model):
     assert mean_attributions(rows).count() == len(feature_names(model))
 
 
+def test_shap_of_a_forest_beyond_one_task(fused, model, monkeypatch):
+    whole = {(r.UDI, r.feature): r.shap for r in shap_values(fused, model, ["UDI"], rows=40).collect()}
+    monkeypatch.setattr(explain, "MOST_CELLS", 50)
+    monkeypatch.setattr(explain, "BLOCK_ROWS", 16, raising=False)
+    found = evaluate(fused, model, ["UDI"], ["timestamp", "UDI"], explain_rows=40)
+    parts = {(r.UDI, r.feature): r.shap for r in found["shap"].collect()}
+    assert parts == pytest.approx(whole, abs=1e-12) and len(parts) == 40 * len(feature_names(model))
+    assert found["shap_mean"].count() == len(feature_names(model))
+
+
 def test_cross_validation_and_curve(fused):
     recipe = Recipe(trees=3, depth=3)
     folds = cross_validate(fused, recipe, ["UDI"], train_scores=True).collect()
