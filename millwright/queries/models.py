@@ -23,9 +23,8 @@ from millwright.sources.models import load_model, save_model
 from millwright.sources.tables import latest_rows
 from millwright.streaming.scoring import REQUEST_SCHEMA, request_stream, score_stream
 
-PLAIN = Recipe(balanced=False, trees=20, depth=8)
-BALANCED = Recipe(balanced=True, trees=20, depth=8)
-QUICK = Recipe(balanced=True, trees=5, depth=4)
+PLAIN = Recipe(balanced=False)
+BALANCED = Recipe(balanced=True)
 
 SHARED_ROLES = {
     "air": "air_temp_K",
@@ -75,13 +74,13 @@ def cv_engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
     rich = engineered(fused_lines(spark, sf_dir), SHARED_ROLES)
     powers = [f"{c}_{p}" for c in SHARED_ROLES.values() for p in ("squared", "cubed")]
     numbers = [*NUMERIC_FEATURES, "speed_x_torque", "temp_diff", "wear_rate", *powers]
-    folds = cross_validate(rich, Recipe(numeric=numbers, trees=10, depth=6), LINE_KEY)
+    folds = cross_validate(rich, Recipe(numeric=numbers), LINE_KEY)
     return mean_and_std(folds, ["split", "metric"])
 
 
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy against training size: ten sizes, five folds."""
-    points = learning_curve(fused_lines(spark, sf_dir), QUICK, LINE_KEY, parallel=8)
+    points = learning_curve(fused_lines(spark, sf_dir), BALANCED, LINE_KEY, parallel=8)
     return mean_and_std(points, ["fraction", "split"])
 
 

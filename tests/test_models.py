@@ -17,6 +17,7 @@ from millwright.models.validate import cross_validate, learning_curve
 from millwright.operators.encode import categories, one_hot, scale_parameters, scaled, slots
 from millwright.plans.evaluation import evaluate
 from millwright.plans.training import train_engineered, train_fused, train_with_holdout
+from millwright.queries import models
 from millwright.sources.files import SENSOR_SCHEMA, read_csv, write_csv
 from millwright.sources.models import load_model, save_model
 from millwright.streaming.scoring import REQUEST_SCHEMA, request_stream, score_stream
@@ -234,3 +235,21 @@ def test_score_csv_round_trip(spark, fused, model, tmp_path):
     path = save_model(model, str(tmp_path / "m"))
     scored = read_csv(spark, score_csv(spark, path, source, str(tmp_path / "out")))
     assert scored.count() == 600 and {"predicted_failure", "failure_prob"} <= set(scored.columns)
+
+
+def test_registered_models_use_the_whole_recipe(spark, sf_dir, monkeypatch):
+    used = []
+
+    class Stop(Exception):
+        pass
+
+    def caught(df, recipe, *rest, **more):
+        used.append(recipe)
+        raise Stop
+
+    for name in ("fit_forest", "cross_validate", "learning_curve"):
+        monkeypatch.setattr(models, name, caught)
+    for query in models.QUERIES.values():
+        with pytest.raises(Stop):
+            query(spark, sf_dir)
+    assert len(used) == len(models.QUERIES) and {(r.trees, r.depth) for r in used} == {(100, 15)}
