@@ -1,18 +1,22 @@
-"""The ten operators as registered queries over the given tables."""
+"""The operators as registered queries over the given tables."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millwright.llm import oracles
+from millwright.llm.alignment import align_tokenizers
 from millwright.llm.bpe import encode_digests
 from millwright.llm.fingerprints import document_fingerprints
+from millwright.llm.hilbert import document_shards
 from millwright.llm.licences import scan_licences
 from millwright.llm.mixing import chosen
 from millwright.llm.neardup import near_duplicates
 from millwright.llm.neighbours import nearest
 from millwright.llm.quality import quality_scores
 from millwright.llm.repeats import repeat_digests
+from millwright.llm.spelling import spelling_variants
 from millwright.llm.tokenfiles import token_counts, write_token_files
 from millwright.llm.toxicity import toxicity_scores
 from millwright.session import fresh_path
@@ -90,11 +94,30 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), slips=199)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_nearest_vectors, op3_quality, op4_fingerprints, op5_near_duplicates,
         op6_token_counts, op7_toxicity, op8_repeated_strings, op9_mixture, op10_byte_pairs,
+        op11_hilbert_shards, op12_spelling_variants, op13_tokenizer_alignment,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_hilbert_shards": oracles.sharding(),
+    "op12_spelling_variants": oracles.spelling(),
+}

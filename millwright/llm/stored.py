@@ -31,6 +31,22 @@ def only_keys(df: DataFrame, keys: DataFrame, on: list[str], count: int) -> Data
     return df.join(F.broadcast(keys) if count <= SENT_KEYS else keys, on, "left_semi")
 
 
+def looked_up(df: DataFrame, table: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """``df`` with the columns of ``table``, which has one row for each key (not null) and the key's ``weight``.
+
+    A small table is sent to all executors. Of a larger one the keys above the ``SENT_KEYS``-th
+    part of all weight are sent, which are fewer than ``SENT_KEYS``; the rows of the others
+    are joined by a shuffle, in which no key is heavy. Rows without a key in ``table`` go.
+    """
+    if table.count() <= SENT_KEYS:
+        return df.join(F.broadcast(table), on)
+    least = table.agg(F.sum(weight)).first()[0] / SENT_KEYS
+    heavy, light = table.filter(F.col(weight) > least), table.filter(F.col(weight) <= least)
+    sent = df.join(F.broadcast(heavy), on)
+    rest = df.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return sent.unionByName(rest.join(light, on))
+
+
 def in_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with batches of bounded bytes: ten thousand long texts do not stand in memory at once.
 
