@@ -78,10 +78,10 @@ def feature_stages(recipe: Recipe) -> list:
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
 
 
-def forest_pipeline(recipe: Recipe) -> Pipeline:
-    """The unfitted pipeline: features, then the forest."""
+def forest_of(recipe: Recipe, label: str) -> RandomForestClassifier:
+    """The unfitted forest over ``features``."""
     forest = RandomForestClassifier(
-        labelCol=recipe.label,
+        labelCol=label,
         featuresCol="features",
         numTrees=recipe.trees,
         maxDepth=recipe.depth,
@@ -89,9 +89,12 @@ def forest_pipeline(recipe: Recipe) -> Pipeline:
         featureSubsetStrategy="sqrt",
         seed=recipe.seed,
     )
-    if recipe.balanced:
-        forest = forest.setWeightCol("weight")
-    return Pipeline(stages=[*feature_stages(recipe), forest])
+    return forest.setWeightCol("weight") if recipe.balanced else forest
+
+
+def forest_pipeline(recipe: Recipe) -> Pipeline:
+    """The unfitted pipeline: features, then the forest."""
+    return Pipeline(stages=[*feature_stages(recipe), forest_of(recipe, recipe.label)])
 
 
 def arranged(rows: DataFrame, partitions: int) -> DataFrame:

@@ -1,20 +1,48 @@
-"""Backward as-of join with a tolerance.
-
-Both sides are first reduced to their distinct moments, so rows that share one
-moment, however many, cost one row each in the search. The moments are cut into
-even time ranges; inside a range the last right row is carried forward, and
-across ranges one row per range is handed over. Work is linear in the rows: no
-pairs are formed and no match is capped. Finally the left rows look their moment
-up with an equi-join, where adaptive execution splits an overloaded moment.
+"""Backward as-of join with a tolerance, as a merge scan.
+
+Both sides are written once as one table of moments. It is cut into even time ranges, and inside a
+range one forward pass in time order hands the last right row to the left rows that follow.
+Across ranges the newest right row of each is handed over, one row per range. So each side is
+evaluated once and moves once; no pairs are formed and no match is capped. Rows of a moment that
+fills several ranges alone are dealt to ranges of their own, first the right ones, then the left ones.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from millwright.functions.clock import order_value
+from millwright.operators.prefix import cut_points, range_count, truly_repeated, with_cut
+from millwright.session import stored
+
+#: Ranges that left rows without a time are dealt to.
+UNTIMED = 64
 
-from millwright.operators.prefix import cut_points, most_ranges, range_count, with_cut
+
+def _constants(values: list) -> Column:
+    """Numbers as one constant array; thousands of literals would make a slow plan."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def _parts_of(on: str, kind: str, points: list[float], repeated: dict[float, int]) -> Column:
+    """The number of a row's range: its time range, and inside it the part of a repeated moment.
+
+    A repeated moment is the lowest of its range. With ``m`` parts its right rows fill the parts 0 to m - 1 and
+    its left rows m parts after them, so that all right rows come before all left rows; the other rows come last.
+    """
+    most = max([UNTIMED, *repeated.values()])
+    dealt = F.monotonically_increasing_id()
+    part = F.lit(2 * most)
+    if repeated:
+        index = F.col("_range").cast("int")
+        parts = F.get(_constants([float(repeated.get(p, 0)) for p in (None, *points)]), index).cast("bigint")
+        lowest = F.get(_constants([0.0, *points]), index)
+        hot = (parts > 0) & (order_value(F.col(on), kind) == lowest)
+        part = F.when(hot, F.col("_side") * most + F.pmod(dealt, parts)).otherwise(part)
+    untimed = F.pmod(dealt, F.lit(UNTIMED))
+    return F.col("_range") * (2 * most + 1) + F.when(F.col(on).isNull(), untimed).otherwise(part)
 
 
 def asof_join(
@@ -31,7 +59,8 @@ def asof_join(
     Equal times match, and so does a gap of exactly ``tolerance``. Among right
     rows of one moment the largest by ``last_by``, then by the other columns in
     order, is taken. ``how`` is "left" or "inner"; ``keep_right_time`` names an
-    extra output column for the matched right time.
+    extra output column for the matched right time. Left rows without a time match nothing.
+    The inputs are read when this is called; the result is read from the shared folder.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -41,49 +70,43 @@ def asof_join(
         raise ValueError(f"columns on both sides: {', '.join(shared)}")
     ranked = list(last_by or [])
     ranked += [c for c in payload if c not in ranked]
+    spark = left.sparkSession
 
-    carried = F.struct(F.col(on).alias("_time"), *[F.col(f"`{c}`") for c in ranked])
-    right_rows = right.filter(F.col(on).isNotNull()).select(on, carried.alias("_match"), F.lit(0).alias("_asked"))
-    left_rows = left.filter(F.col(on).isNotNull()).select(
-        on, F.lit(None).cast(right_rows.schema["_match"].dataType).alias("_match"), F.lit(1).alias("_asked")
-    )
-    times = left_rows.select(on).unionAll(right_rows.select(on))
-    points, _ = cut_points(times, on, range_count(left.sparkSession))
+    own = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    match = F.struct(F.col(on).alias("_time"), *[F.col(f"`{c}`") for c in ranked])
+    right_rows = right.filter(F.col(on).isNotNull()).select(on, F.lit(0).alias("_side"), match.alias("_match"))
+    left_rows = left.select(on, F.lit(1).alias("_side"), own.alias("_own"))
+    rows = stored(left_rows.unionByName(right_rows, allowMissingColumns=True), "asof-rows")
 
-    moments = (
-        left_rows.unionAll(right_rows)
-        .groupBy(on)
-        .agg(F.max("_match").alias("_match"), F.max("_asked").alias("_asked"))
+    points, repeated = cut_points(rows.select(on), on, range_count(spark))
+    if repeated:
+        repeated = {moment: repeated[moment] for moment in truly_repeated(rows, on, list(repeated), "")}
+    kind = dict(rows.dtypes)[on]
+    cut = with_cut(rows, on, points, "_range").withColumn("_range", _parts_of(on, kind, points, repeated))
+    # The right rows of a moment come first, the wanted one last; then the left rows of the moment.
+    forward = Window.partitionBy("_range").orderBy(on, "_side", "_match")
+    passed = forward.rowsBetween(Window.unboundedPreceding, 0)
+    scanned = cut.select(
+        on, "_range", "_side", "_own",
+        F.last("_match", ignorenulls=True).over(passed).alias("_match"),
+        F.lead(F.lit(0)).over(forward).isNull().alias("_last"),
     )
-    moments = with_cut(moments, on, points, "_range")
+    scanned = stored(scanned.filter("_side = 1 or _last"), "asof-matches")
 
-    # One row per range (a few thousand at most): broadcastable by construction.
-    newest = (
-        with_cut(right_rows.select(on, "_match"), on, points, "_range")
-        .groupBy("_range")
-        .agg(F.max("_match").alias("_newest"))
-    )
-    # Every range, also one without right rows, needs what the earlier ones hand over.
-    ranges = left.sparkSession.range(most_ranges(points)).select(F.col("id").alias("_range"))
-    newest = ranges.join(newest, "_range", "left")
+    # One row per range: a few for each shuffle partition.
+    newest = scanned.filter("_last").select("_range", "_match")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    handed = newest.select("_range", F.last("_newest", ignorenulls=True).over(earlier).alias("_handed"))
-
-    inside = Window.partitionBy("_range").orderBy(on).rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        moments.withColumn("_match", F.last("_match", ignorenulls=True).over(inside))
-        .filter("_asked = 1")
-        .join(F.broadcast(handed), "_range", "left")
-        .select(on, F.coalesce("_match", "_handed").alias("_match"))
-        .filter(F.col("_match").isNotNull())
-    )
+    handed = newest.select("_range", F.max("_match").over(earlier).alias("_handed")).filter("_handed is not null")
+    found = F.coalesce("_match", "_handed")
+    near = F.col("_found").isNotNull() & F.col(on).isNotNull()
     if tolerance is not None:
-        found = found.filter(F.col("_match._time") >= F.col(on) - F.lit(tolerance))
-    columns = [F.col(f"_match.`{c}`").alias(c) for c in payload]
-    if keep_right_time:
-        columns.append(F.col("_match._time").alias(keep_right_time))
-    return left.join(found.select(on, *columns), on, how).select(
-        *[left[f"`{c}`"] if c != on else F.col(on) for c in left.columns],
-        *payload,
-        *([keep_right_time] if keep_right_time else []),
+        near = near & (F.col("_found._time") >= F.col(on) - F.lit(tolerance))
+    out = scanned.filter("_side = 1").join(F.broadcast(handed), "_range", "left").withColumn("_found", found)
+    out = out.withColumn("_found", F.when(near, F.col("_found")))
+    if how == "inner":
+        out = out.filter("_found is not null")
+    return out.select(
+        *[F.col(f"_own.`{c}`").alias(c) for c in left.columns],
+        *[F.col(f"_found.`{c}`").alias(c) for c in payload],
+        *([F.col("_found._time").alias(keep_right_time)] if keep_right_time else []),
     )

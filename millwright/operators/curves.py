@@ -1,7 +1,8 @@
 """ROC and precision-recall curves, and the area under ROC, from (label, score) rows.
 
 Rows collapse to distinct scores first, so a score shared by many rows is one
-row; running counts over the scores then give every point exactly.
+row; running counts over the scores then give every point exactly. A null label or
+score and a label other than 0 and 1 are errors.
 """
 
 from __future__ import annotations
@@ -11,11 +12,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millwright.operators.prefix import running_totals
 
 
+def binary_rows(label: Column, score: Column) -> tuple[Column, Column]:
+    """Label and score; a row that cannot be counted fails the job."""
+    wrong = F.raise_error(F.concat(F.lit("labels must be 0 or 1, not "), F.coalesce(label.cast("string"), F.lit("null"))))
+    truth = F.when(label.cast("double").isin(0.0, 1.0), label.cast("int")).otherwise(wrong.cast("int"))
+    none = F.raise_error(F.lit("a score is null or not a number")).cast("double")
+    value = score.cast("double")
+    return truth, F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(none)
+
+
 def score_steps(df: DataFrame, label: str | Column = "label", score: str | Column = "score") -> DataFrame:
     """``score, pos, neg, pos_below, neg_below`` and the totals, one row per distinct score."""
     truth = F.col(label) if isinstance(label, str) else label
     value = F.col(score) if isinstance(score, str) else score
-    rows = df.select(truth.cast("int").alias("truth"), value.cast("double").alias("score")).na.drop()
+    truth, value = binary_rows(truth, value)
+    rows = df.select(truth.alias("truth"), value.alias("score"))
     steps = rows.groupBy("score").agg(
         F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") != 1).alias("neg")
     )
@@ -42,12 +53,16 @@ def roc_auc(df: DataFrame, label: str | Column = "label", score: str | Column =
 
 def roc_auc_by(df: DataFrame, by: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """``by..., roc_auc`` per group, e.g. per fold."""
-    rows = df.select(*by, F.col(label).cast("int").alias("truth"), F.col(score).cast("double").alias("score")).na.drop(
-        subset=["truth", "score"]
-    )
+    truth, value = binary_rows(F.col(label), F.col(score))
+    rows = df.select(*by, truth.alias("truth"), value.alias("score"))
     steps = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("truth") == 1).alias("pos"), F.count_if(F.col("truth") != 1).alias("neg")
     )
+    return auc_of_steps(steps, by)
+
+
+def auc_of_steps(steps: DataFrame, by: list[str]) -> DataFrame:
+    """``by..., roc_auc`` from ``by..., score, pos, neg`` with one row for each distinct score."""
     ordered = running_totals(steps, ["score"], sums={"neg_below": F.col("neg")}, group=by)
     won = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")

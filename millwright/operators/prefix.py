@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millwright.functions.clock import order_value
+from millwright.session import stored
 
 # A group above this many rows is cut into ranges instead of going to one task.
 HOT_ROWS = 1_000_000
@@ -88,13 +89,13 @@ def spread_value(df: DataFrame, column: str, shared: str = "") -> Column:
 
 
 def cut_points(df: DataFrame, column: str, ranges: int, shared: str = "") -> tuple[list[float], dict[float, int]]:
-    """Quantiles of ``column`` as doubles, and how many ranges the repeated ones fill."""
+    """Quantiles of ``column`` as doubles, and how many ranges the repeated ones fill.
+
+    Different texts or decimals may share a double: ``truly_repeated`` tells which stand for one value.
+    """
     shares = [i / ranges for i in range(1, ranges)]
     raw, _ = sketch(df.select(spread_value(df, column, shared).alias("v")), ["v"], shares, ranges)["v"]
     points = sorted({p for p in raw if abs(p) != INFINITY})
-    # Different strings may share an order value, so an equal one proves no repeat.
-    if dict(df.dtypes)[column] == "string":
-        return points, {}
     return points, {v: n for v, n in Counter(raw).items() if n > 1 and abs(v) < EXACT_DOUBLE}
 
 
@@ -117,6 +118,16 @@ def with_cut(df: DataFrame, column: str, points: list[float], name: str, shared:
     return cutter.transform(spread).withColumn(name, number).drop(probe)
 
 
+def truly_repeated(df: DataFrame, column: str, values: list[float], shared: str) -> list[float]:
+    """Those order values behind which only one value of the column stands (different texts may share one)."""
+    number = spread_value(df, column, shared)
+    ends = (
+        df.select(number.alias("v"), F.col(f"`{column}`").alias("c")).filter(F.col("v").isin(values))
+        .groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low = high")
+    )
+    return [r.v for r in ends.collect()]
+
+
 def with_ranges(
     df: DataFrame,
     order: list[str],
@@ -126,36 +137,36 @@ def with_ranges(
 ) -> DataFrame:
     """Add a range number that grows with ``order``.
 
-    A value of the first column that fills several ranges on its own is cut
-    again along the second one, so one repeated value cannot overload a task.
+    A value of the first column that fills several ranges on its own, null included, is cut again along the
+    next one, and so on, so no repeated value or combination of values can overload a task.
     """
-    spark = df.sparkSession
-    ranges = ranges or range_count(spark)
     base = df if sample_from is None else sample_from
-    shared = shared_beginning(base, order[0])
-    points, repeated = cut_points(base, order[0], ranges, shared)
-    cut = with_cut(df, order[0], points, name, shared)
-    if not repeated or len(order) < 2 or order[1] not in base.columns:
-        return cut
-    is_repeated = F.coalesce(spread_value(df, order[0]).isin(list(repeated)), F.lit(False))
-    again = base.filter(is_repeated)
-    shared = shared_beginning(again, order[1])
-    inner, _ = cut_points(again, order[1], sum(repeated.values()), shared)
-    second = f"{name}_second"
-    after = F.lit(most_ranges(inner))
-    # A repeated value is a cut point, hence the lowest of its range: it goes first.
-    return (
-        with_cut(cut, order[1], inner, second, shared)
-        .withColumn(
-            name,
-            F.col(name) * (after + 1) + F.when(is_repeated, F.col(second)).otherwise(after),
-        )
-        .drop(second)
-    )
-
-
-def _any_null(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns])
+    return _cut_by(df, order, name, base, ranges or range_count(df.sparkSession))[0]
+
+
+def _cut_by(df: DataFrame, order: list[str], name: str, base: DataFrame, ranges: int) -> tuple[DataFrame, int]:
+    """``with_ranges``, and a bound above the largest number."""
+    first, rest = order[0], order[1:]
+    shared = shared_beginning(base, first)
+    points, repeated = cut_points(base, first, ranges, shared)
+    cut = with_cut(df, first, points, name, shared)
+    if not rest or not set(rest) <= set(base.columns):
+        return cut, most_ranges(points)
+    value = F.col(f"`{first}`")
+    filled = sum(repeated.values())
+    again = F.lit(False)
+    if repeated:
+        again = F.coalesce(spread_value(df, first, shared).isin(truly_repeated(base, first, list(repeated), shared)), F.lit(False))
+    total, none = base.agg(F.count(F.lit(1)), F.count_if(value.isNull())).first()
+    # Nulls have a range of their own, the last one.
+    if none * ranges > 2 * total:
+        again, filled = again | value.isNull(), filled + none * ranges // total
+    if not filled:
+        return cut, most_ranges(points)
+    # Inside a repeated value the next columns decide. It is a cut point, hence the lowest of its range: it goes first.
+    inner, most = _cut_by(cut, rest, f"{name}_next", base.filter(again), max(2, filled))
+    place = F.when(again, F.col(f"{name}_next")).otherwise(F.lit(most))
+    return inner.withColumn(name, F.col(name) * (most + 1) + place).drop(f"{name}_next"), most_ranges(points) * (most + 1)
 
 
 def _ordering(order: list[str]) -> list[Column]:
@@ -198,20 +209,17 @@ def running_totals(
         return _ranged(df, order, sums, number, [], totals, sample_from)
     if hot_rows is None:
         return _zero_first(_plain(df, order, sums, number, group), sums)
-    # A null key is never split. The test is an aggregate, or it would be evaluated per input row.
-    heavy = (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_n"), F.bool_or(_any_null(group)).alias("_null"))
-        .filter((F.col("_n") > hot_rows) & ~F.col("_null"))
-        .select(*group)
-    )
-    keys = heavy.limit(MOST_MARKS + 1).count()
+    heavy = stored(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*group), "heavy")
+    keys = heavy.count()
     if keys == 0:
         return _zero_first(_plain(df, order, sums, number, group), sums)
-    marks = heavy.withColumn("_heavy", F.lit(True))
-    marked = df.join(F.broadcast(marks) if keys <= MOST_MARKS else marks, group, "left")
-    light = marked.filter(F.col("_heavy").isNull()).drop("_heavy")
-    hot = marked.filter("_heavy").drop("_heavy")
+    base = stored(df, "totals")
+    marks = heavy.select(*[F.col(f"`{c}`").alias(f"_of_{i}") for i, c in enumerate(group)], F.lit(True).alias("_heavy"))
+    # Null keys are groups as well.
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(group)])
+    marked = base.join(F.broadcast(marks) if keys <= MOST_MARKS else marks, same, "left")
+    light = marked.filter(F.col("_heavy").isNull()).select(*df.columns)
+    hot = marked.filter("_heavy").select(*df.columns)
     done = _ranged(hot, order, sums, number, group, False, None)
     return _zero_first(_plain(light, order, sums, number, group), sums).unionByName(done)
 
@@ -221,7 +229,11 @@ def _zero_first(df: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
 
 def _ranged(df, order, sums, number, group, totals, sample_from) -> DataFrame:
-    cut = with_ranges(df, order, "_range", sample_from)
+    # Written once: cutting, totals and windows read it, each only what it needs.
+    values = {f"_value_{i}": v for i, v in enumerate(sums.values())}
+    base = stored(df.withColumns(values) if values else df, "ranges")
+    sums = {n: F.col(v) for n, v in zip(sums, values)}
+    cut = with_ranges(base, order, "_range", sample_from)
     keys = [*group, "_range"]
     local = _plain(cut, order, sums, number, keys)
 
@@ -236,7 +248,12 @@ def _ranged(df, order, sums, number, group, totals, sample_from) -> DataFrame:
         carried += [F.sum(f"_part_{n}").over(whole).alias(f"{n}_total") for n in sums]
     offsets = per_range.select(*keys, *carried)
     # The rows already lie and sort by these keys after their window: nothing moves again.
-    joined = local.join(offsets, keys, "left")
+    if group:
+        named = offsets.withColumnsRenamed({k: f"_at_{i}" for i, k in enumerate(keys)})
+        same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_at_{i}")) for i, k in enumerate(keys)])
+        joined = local.join(named, same, "left")
+    else:
+        joined = local.join(offsets, keys, "left")
     kinds = dict(joined.dtypes)
     added = {
         n: F.coalesce(F.col(n), F.lit(0).cast(kinds[n])) + F.coalesce(F.col(f"_carry_{n}"), F.lit(0).cast(kinds[n]))

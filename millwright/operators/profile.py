@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from millwright.functions.columns import missing, value_or_null
 from millwright.operators.ranks import percentiles
 
 # The quartiles of a summary.
 QUARTILES = [0.25, 0.5, 0.75]
+# A sum of squares below this share of the uncentred one is that of a constant.
+CONSTANT = 1e-12
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 
@@ -86,58 +92,40 @@ def only_missing(counts: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_a, column_b, correlation`` for all ordered pairs, each over its complete rows.
 
-    Pairs of columns without gaps share one pass and one deviation per column;
-    pairs with gaps need deviations of their own and are summed per pair. The
-    diagonal is 1, or null for a constant column, as is any pair with a constant.
+    Masked Gram matrices: with gaps as zeros, the products of the values, of their squares and of the masks give
+    every pair its sums over the rows complete in both. They are added up batch by batch where the rows lie, and
+    one row for each column leaves a task. Values are taken from the column's mean, found in a first pass.
+    The diagonal is 1, or null for a constant column, as is any pair with a constant.
     Fewer than two columns give an empty table.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
     numbers = df.select(*[value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)])
-    gaps = numbers.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in numbers.columns]
-    ).first()
-    gappy = {i for i in range(len(columns)) if gaps[f"_{i}"] < gaps["n"]}
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    shared = [(i, j) for i, j in pairs if i == j or not {i, j} & gappy]
-    single = [p for p in pairs if p not in shared]
-
-    def shape(i: int, j: int, together: Column, bottom: Column) -> list[Column]:
-        r = F.try_divide(together, F.when(bottom > 0, bottom))
-        return [
-            F.struct(F.lit(columns[p]).alias("column_a"), F.lit(columns[q]).alias("column_b"), r.alias("correlation"))
-            for p, q in sorted({(i, j), (j, i)})
-        ]
-
-    wide = numbers.agg(
-        *[F.stddev_pop(c).alias(f"s{c}") for c in numbers.columns],
-        *[F.covar_pop(f"_{i}", f"_{j}").alias(f"c_{i}_{j}") for i, j in shared if i != j],
-    )
-    cells = [
-        cell
-        for i, j in shared
-        for cell in shape(
-            i, j, F.when(F.col(f"s_{i}") > 0, F.lit(1.0)) if i == j else F.col(f"c_{i}_{j}"),
-            F.lit(1.0) if i == j else F.col(f"s_{i}") * F.col(f"s_{j}"),
-        )
-    ]
-    found = wide.select(F.inline(F.array(*cells)))
-    if not single:
-        return found
-    both = [
-        F.struct(F.lit(k).alias("pair"), F.col(f"_{i}").alias("x"), F.col(f"_{j}").alias("y"))
-        for k, (i, j) in enumerate(single)
-    ]
-    bottom = F.stddev_pop("x") * F.stddev_pop("y")
-    per_pair = (
-        numbers.select(F.inline(F.array(*both)))
-        .filter("x is not null and y is not null")
-        .groupBy("pair")
-        .agg(F.try_divide(F.covar_pop("x", "y"), F.when(bottom > 0, bottom)).alias("correlation"))
-    )
-    names = df.sparkSession.createDataFrame(
-        [(k, columns[p], columns[q]) for k, (i, j) in enumerate(single) for p, q in ((i, j), (j, i))],
-        "pair int, column_a string, column_b string",
+    middle = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
+    means = np.array([middle[c] or 0.0 for c in numbers.columns])
+    size = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, size, size))
+        for batch in batches:
+            cells = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) if batch.num_rows else np.zeros((0, size))
+            there = ~np.isnan(cells)
+            x = np.where(there, cells - means, 0.0)
+            mask = there.astype(float)
+            sums += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        columns_of = [pa.array(list(part), pa.list_(pa.float64())) for part in sums]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), *columns_of], ["i", "n", "s", "q", "p"])
+
+    kind = "i int, n array<double>, s array<double>, q array<double>, p array<double>"
+    parts = numbers.mapInArrow(run, kind).select("i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "_sums"))
+    gram = parts.groupBy("i", "j").agg(*[F.sum(f"_sums.{c}").alias(c) for c in "nsqp"])
+    # Sums of one column over the rows that the other one has, too; one row for each pair of columns.
+    other = gram.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("q").alias("q2"))
+    spread_of = lambda s, q: F.when(F.col(q) - F.col(s) * F.col(s) / F.col("n") > CONSTANT * F.col(q), F.col(q) - F.col(s) * F.col(s) / F.col("n"))
+    both = F.sqrt(spread_of("s", "q")) * F.sqrt(spread_of("s2", "q2"))
+    r = F.when(F.col("i") == F.col("j"), F.when(both.isNotNull(), F.lit(1.0))).otherwise((F.col("p") - F.col("s") * F.col("s2") / F.col("n")) / both)
+    names = F.array(*[F.lit(c) for c in columns])
+    return gram.join(other, ["i", "j"]).select(
+        F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"),
+        F.when(F.col("n") > 0, r).alias("correlation"),
     )
-    named = F.broadcast(names).join(per_pair, "pair", "left").select("column_a", "column_b", "correlation")
-    return found.unionByName(named)

@@ -47,5 +47,5 @@ def fuse_files(
 
 
 def build_table(spark: SparkSession, target: str, partition_by_day: bool = False, **files) -> int:
-    """Fuse the files into the table at ``target``; returns its rows."""
-    return replace_table(fuse_files(spark, **files), target, partition_by_day=partition_by_day)
+    """Fuse the files into a new version of the table at ``target``; returns its rows."""
+    return replace_table(fuse_files(spark, **files), target, partition_by_day=partition_by_day, versioned=True)

@@ -10,7 +10,7 @@ from millwright.operators.profile import correlations, missing_counts, only_miss
 from millwright.sources.reports import write_report
 
 
-def profile(df: DataFrame, density_bins: int | None = None) -> dict[str, DataFrame]:
+def profile(df: DataFrame) -> dict[str, DataFrame]:
     """``summary, missing, missing_nonzero`` and, with numeric columns, ``histogram, density, correlation``."""
     numbers = numeric_columns(df)
     missing = missing_counts(df)
@@ -18,7 +18,7 @@ def profile(df: DataFrame, density_bins: int | None = None) -> dict[str, DataFra
     if numbers:
         tables["summary"] = summary(df, numbers)
         tables["histogram"] = histogram(df, numbers)
-        tables["density"] = kernel_densities(df, numbers, density_bins)
+        tables["density"] = kernel_densities(df, numbers)
     if len(numbers) > 1:
         tables["correlation"] = correlations(df, numbers)
     return tables

@@ -1,6 +1,6 @@
 """Forests over the line items in the layout of the fused table.
 
-A forest cannot be said in SQL; these queries are checked by properties in the tests.
+A forest cannot be said in SQL; what SQL can state of the same fits is in ``queries/jobs.py``.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from millwright.queries.views import LINE_KEY, fused_lines
 from millwright.session import fresh_path
 from millwright.sources.models import load_model, save_model
 from millwright.sources.tables import latest_rows
-from millwright.streaming.scoring import REQUEST_SCHEMA, request_stream, score_stream
+from millwright.streaming.scoring import request_schema, request_stream, score_stream_by_batch
 
 PLAIN = Recipe(balanced=False)
 BALANCED = Recipe(balanced=True)
@@ -78,10 +78,13 @@ def cv_engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_and_std(folds, ["split", "metric"])
 
 
+def curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learning_curve(fused_lines(spark, sf_dir), BALANCED, LINE_KEY, parallel=8)
+
+
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy against training size: ten sizes, five folds."""
-    points = learning_curve(fused_lines(spark, sf_dir), BALANCED, LINE_KEY, parallel=8)
-    return mean_and_std(points, ["fraction", "split"])
+    return mean_and_std(curve_points(spark, sf_dir), ["fraction", "split"])
 
 
 def top_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,17 +107,19 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows scored as a stream of files."""
+    """The same rows scored as a stream of files, each with the key of its line."""
+    return streamed(spark, sf_dir, _trained(spark, sf_dir)).drop("batch")
+
+
+def streamed(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
+    """The lines as requests with their key, scored batch by batch."""
+    lines = fused_lines(spark, sf_dir)
+    schema = request_schema([lines.schema[c] for c in LINE_KEY])
     requests = fresh_path(spark, "requests")
-    fused_lines(spark, sf_dir).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA.fields]
-    ).write.parquet(requests)
+    lines.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(requests)
     target = fresh_path(spark, "stream-scores")
-    query = score_stream(
-        request_stream(spark, requests, files_per_batch=4),
-        _trained(spark, sf_dir),
-        target,
-        fresh_path(spark, "stream-state"),
+    query = score_stream_by_batch(
+        request_stream(spark, requests, schema, files_per_batch=4), model, target, fresh_path(spark, "stream-state")
     )
     query.awaitTermination()
     return spark.read.parquet(target)

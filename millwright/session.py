@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of local sessions without ``spark.checkpoint.dir``, by application.
+LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark. On a cluster the submitter builds it."""
     spark = (
@@ -25,6 +31,14 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
+def ship(spark: SparkSession) -> str:
+    """Send this package to the Python workers, for sessions whose executors do not have it installed."""
+    folder = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ship-')}/millwright", "zip", folder.parent, folder.name)
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows over all cores when a small input arrives in fewer splits than that.
 
@@ -46,11 +60,30 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="millwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in LOCAL_FOLDERS:
+        LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="millwright-")
+    return LOCAL_FOLDERS[application]
+
+
+def application_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that only this application writes to."""
+    return f"{shared_dir(spark).rstrip('/')}/millwright-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; ``drop_intermediates`` deletes all of them."""
+    return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: its lineage ends there."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> bool:
+    """Delete everything this application wrote with ``fresh_path``; results not yet written are lost."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

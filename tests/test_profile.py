@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions.columns import categorical_columns, columns_by_role, numeric_columns, require_columns, require_rows
 from millwright.functions.features import engineered
-from millwright.operators.density import histogram, kernel_density
+from millwright.operators.density import histogram, kernel_densities, kernel_density
 from millwright.operators.profile import correlations, missing_counts, summary
 from millwright.operators.ranks import percentiles
 from millwright.plans.profiling import profile_job
@@ -61,20 +61,62 @@ def test_histogram_counts_every_present_row_once(spark):
     assert max(r.bin for r in rows) == 29
 
 
-def test_density_integrates_to_its_mass_and_binning_is_close(spark):
+def test_densities_are_exact_kernel_sums(spark):
     rng = random.Random(2)
-    df = spark.createDataFrame([(rng.gauss(0, 1),) for _ in range(3000)], "x double")
-    exact = kernel_density(df, "x").orderBy("point").collect()
-    binned = kernel_density(df, "x", bins=4096).orderBy("point").collect()
-    step = exact[1].x - exact[0].x
-    assert 0.97 < sum(r.density for r in exact) * step < 1.0
-    peak = max(r.density for r in exact)
-    assert max(abs(a.density - b.density) for a, b in zip(exact, binned)) < 2e-4 * peak
-    h = df.agg(F.stddev_samp("x")).first()[0] * 3000**-0.2
-    xs = [r.x for r in df.collect()]
-    at = exact[70]
-    want = sum(math.exp(-0.5 * ((at.x - x) / h) ** 2) for x in xs) / (3000 * h * math.sqrt(2 * math.pi))
-    assert at.density == pytest.approx(want, rel=1e-9)
+    rows = [(rng.gauss(0, 1), rng.expovariate(1) ** 3, None if i % 3 else 2.0 + i % 2, 5, float("nan")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, heavy double, two double, same int, none double").repartition(3)
+    found = kernel_densities(df, df.columns).orderBy("column_name", "point").collect()
+    assert {r.column_name for r in found} == {"x", "heavy", "two"}
+    for name in ("x", "heavy", "two"):
+        curve = [r for r in found if r.column_name == name]
+        xs = [r[name] for r in df.collect() if r[name] is not None]
+        h = df.agg(F.stddev_samp(name)).first()[0] * len(xs) ** -0.2
+        assert len(curve) == 200 and curve[0].x == min(xs) and curve[-1].x == pytest.approx(max(xs), abs=1e-12)
+        for at in curve[::7]:
+            want = sum(math.exp(-0.5 * ((at.x - x) / h) ** 2) for x in xs) / (len(xs) * h * math.sqrt(2 * math.pi))
+            assert at.density == pytest.approx(want, rel=1e-9, abs=1e-14)
+    step = found[1].x - found[0].x
+    alone = kernel_density(df, "x").orderBy("point").collect()
+    assert [r.density for r in alone] == pytest.approx([r.density for r in found if r.column_name == "x"], rel=1e-12)
+    assert 0.97 < sum(r.density for r in alone) * (alone[1].x - alone[0].x) < 1.0 and step > 0
+
+
+def test_passes_over_the_table_do_not_grow_with_the_columns(spark):
+    """Jobs that densities and correlations run before their result is read."""
+    def jobs(run):
+        before = spark.sparkContext.statusTracker()
+        group = f"count-{random.random()}"
+        spark.sparkContext.setJobGroup(group, "count")
+        run()
+        found = len(before.getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found
+
+    wide = spark.range(500).select(*[(F.rand(i) * (i + 1)).alias(f"c{i}") for i in range(12)])
+    for operator in (kernel_densities, correlations):
+        assert jobs(lambda: operator(wide, ["c0", "c1"])) == jobs(lambda: operator(wide, wide.columns))
+
+
+def test_correlations_with_gaps_equal_the_definition(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(800):
+        a = rng.gauss(1e6, 1)
+        rows.append((a if i % 3 else None, a * 2 + rng.gauss(0, 3) if i % 5 else float("nan"), rng.random() if i % 2 else None, 0.1, 4.2 if i % 3 else float(i)))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5)
+    got = {(r.column_a, r.column_b): r.correlation for r in correlations(df, df.columns).collect()}
+    assert len(got) == 25
+    data = {c: [r[c] for r in df.collect()] for c in df.columns}
+    for x in df.columns:
+        for y in df.columns:
+            both = [(p, q) for p, q in zip(data[x], data[y]) if p is not None and q is not None and p == p and q == q]
+            mx, my = (math.fsum(v) / len(both) for v in zip(*both))
+            sx, sy = (math.sqrt(math.fsum((v - m) ** 2 for v in c)) for c, m in zip(zip(*both), (mx, my)))
+            if min(sx, sy) < 1e-9:
+                assert got[x, y] is None, (x, y)
+            else:
+                want = math.fsum((p - mx) * (q - my) for p, q in both) / (sx * sy)
+                assert got[x, y] == pytest.approx(want, abs=1e-9)
 
 
 def test_profile_job_writes_every_table(spark, tmp_path):
