@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millwright.llm.stored import SENT_KEYS, written
+from millwright.llm.stored import SENT_KEYS, free_names, written
 
 DIGITS = 3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,13 +85,16 @@ def chosen(docs: DataFrame, path: list[str], weights: list[Column], total: float
     plan = plan.withColumn("_rest", F.col("budget") - F.col("_whole") * F.col("tokens"))
     plan = written(plan.withColumn("_leaf", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in path])), "mix-plan")
     leaf = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in path])
-    rows = slim.withColumn("_leaf", leaf).join(plan.select("_leaf", "_whole", "_rest"), "_leaf")
+    # One row for each leaf: sent to all executors where they are counted to be few.
+    few = plan.count() <= SENT_KEYS
+    sent = lambda df: F.broadcast(df) if few else df
+    rows = slim.withColumn("_leaf", leaf).join(sent(plan.select("_leaf", "_whole", "_rest")), "_leaf")
     rows = rows.withColumn("_place", place(seed, F.col("_whole"), F.col("doc_id"))).withColumn("_head", F.substring("_place", 1, DIGITS))
     heads = rows.groupBy("_leaf", "_head").agg(F.sum("n_tokens").alias("_sum"), F.first("_rest").alias("_rest"))
     running = Window.partitionBy("_leaf").orderBy("_head")
     cuts = heads.withColumn("_end", F.sum("_sum").over(running)).filter(F.col("_end") > F.col("_rest"))
     cuts = cuts.groupBy("_leaf").agg(F.min(F.struct("_head", (F.col("_end") - F.col("_sum")).alias("base"))).alias("_cut"))
-    placed = rows.join(cuts, "_leaf", "left")
+    placed = rows.join(sent(cuts), "_leaf", "left")
     near = Window.partitionBy("_leaf").orderBy("_place", "_row")
     last = (
         placed.filter(F.col("_head") == F.col("_cut._head"))
@@ -108,8 +111,10 @@ def chosen(docs: DataFrame, path: list[str], weights: list[Column], total: float
 
 
 def mixed_documents(docs: DataFrame, path: list[str], weights: list[Column], total: float, epochs: int, seed: int = 7) -> DataFrame:
-    """The rows of ``docs``, each as often as it was chosen, with all their columns."""
-    taken = written(chosen(docs, path, weights, total, epochs, seed).groupBy("_row").agg(F.max("copies").alias("_copies")).filter("_copies > 0"), "mix-taken")
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(F.broadcast(taken) if taken.count() <= SENT_KEYS else taken, "_row")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    """The rows of ``docs``, each as often as it was chosen, with all their columns, whatever their names."""
+    row, copies, copy = free_names(docs, "_row", "_copies", "_copy")
+    taken = chosen(docs, path, weights, total, epochs, seed).groupBy("_row").agg(F.max("copies").alias(copies)).filter(F.col(copies) > 0)
+    taken = written(taken.withColumnRenamed("_row", row), "mix-taken")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    joined = keyed.join(F.broadcast(taken) if taken.count() <= SENT_KEYS else taken, row)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)

@@ -26,6 +26,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def only_keys(df: DataFrame, keys: DataFrame, on: list[str], count: int) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys`` (distinct, ``count`` of them)."""
     return df.join(F.broadcast(keys) if count <= SENT_KEYS else keys, on, "left_semi")
