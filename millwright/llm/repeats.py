@@ -22,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millwright.llm.stored import SENT_KEYS, in_batches, only_keys, whole_groups, written
+from millwright.llm.stored import SENT_KEYS, free_names, in_batches, only_keys, whole_groups, written
 from millwright.llm.text import flat, mixed, powers, prefix_sums, slices, span_hashes
 
 GRAM = 32
@@ -32,6 +32,8 @@ LENGTH = 400
 PLACE = np.uint64((1 << 31) - 1)
 #: Contexts with one first rank that a task compares at once; larger groups are counted by a shuffle.
 MOST_TOGETHER = 5_000
+#: Parts that the anchors of one span are dealt to, so that a span of any number of documents fits a task.
+SPAN_PARTS = 256
 #: Contexts that are compared at once if their groups are small.
 TOGETHER = 2_000
 
@@ -180,6 +182,20 @@ def crowd_cover(contexts: DataFrame, length: int) -> DataFrame:
     return strings.filter("not whole").join(again, "string").select("row", "low", (F.col("low") + length).alias("high"))
 
 
+def whole_spans(places: DataFrame, ranked: DataFrame, length: int) -> DataFrame:
+    """``row, low, high`` of the anchors whose whole span occurs again.
+
+    The anchors of a span are dealt to parts by their rows. Two in one part need no more than the
+    part to know of each other; those that are alone in theirs, at most ``SPAN_PARTS`` a span, look the span up.
+    """
+    own = ["gram", "span", "_part"]
+    dealt = places.withColumn("_part", F.pmod(F.xxhash64("row"), F.lit(SPAN_PARTS)))
+    counted = dealt.withColumn("_n", F.count("*").over(Window.partitionBy(*own)))
+    counted = written(counted.select("gram", "span", "row", "low", "high", (F.col("_n") > 1).alias("_again")), "spans")
+    alone = counted.filter("not _again").join(ranked.filter("n > 1").select("gram", "span"), ["gram", "span"], "left_semi")
+    return counted.filter("_again").unionByName(alone).select("row", "low", (F.col("high") + length).alias("high"))
+
+
 def covered(docs: DataFrame, length: int = LENGTH, most_together: int = MOST_TOGETHER) -> DataFrame:
     """``row, spans``: for each document with repeated strings the byte ranges they cover."""
     if length < GRAM:
@@ -188,9 +204,7 @@ def covered(docs: DataFrame, length: int = LENGTH, most_together: int = MOST_TOG
     spans = places.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(F.struct("row", "low", "high")).alias("lead"))
     grams = spans.groupBy("gram").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).filter("all > 1")
     ranked = written(spans.join(grams, "gram"), "ranks")
-    whole = places.join(ranked.filter("n > 1").select("gram", "span"), ["gram", "span"]).select(
-        "row", "low", (F.col("high") + length).alias("high")
-    )
+    whole = written(whole_spans(places, ranked, length), "whole-spans")
     # One context for each different span of a gram; those found whole above only testify.
     border = ranked.filter("kinds > 1").groupBy("lead.row").agg(
         F.collect_list(F.struct("gram", "lead.low", "lead.high", (F.col("n") > 1).alias("whole"))).alias("places")
@@ -200,11 +214,12 @@ def covered(docs: DataFrame, length: int = LENGTH, most_together: int = MOST_TOG
     near = only_keys(texts, border.select("row"), ["row"], border.count())
     near = near.join(border, "row").select("row", "text", "places").dropDuplicates(["row"])
     contexts = written(context_table(near, length), "contexts")
-    crowds = ranked.filter(F.col("kinds") > most_together).select("gram").distinct()
-    parts = [whole, border_cover(contexts.join(F.broadcast(crowds), "gram", "left_anti"), length)]
-    if not crowds.isEmpty():
-        # Each such gram has more than ``most_together`` rows of its own, so there are few of them.
-        parts.append(crowd_cover(contexts.join(F.broadcast(crowds), "gram", "left_semi"), length))
+    crowds = written(ranked.filter(F.col("kinds") > most_together).select("gram").distinct(), "crowds")
+    few = crowds.count()
+    sent = F.broadcast(crowds) if few <= SENT_KEYS else crowds
+    parts = [whole, border_cover(contexts.join(sent, "gram", "left_anti"), length)]
+    if few:
+        parts.append(crowd_cover(contexts.join(sent, "gram", "left_semi"), length))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
@@ -229,16 +244,15 @@ def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
 
 
-def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with ``_repeat_spans`` (null where nothing is covered); only documents with spans are shuffled."""
-    keyed = docs.withColumn("_repeat_row", row_key())
-    keys = found.select(F.col("row").alias("_repeat_row"))
+def with_spans(docs: DataFrame, found: DataFrame, spans: str) -> DataFrame:
+    """``docs`` with the column ``spans`` (null where nothing is covered); only documents with spans are shuffled."""
+    (row,) = free_names(docs, "_repeat_row")
+    keyed = docs.withColumn(row, row_key())
+    keys = found.select(F.col("row").alias(row))
     few = found.count()
-    hit = only_keys(keyed, keys, ["_repeat_row"], few).join(
-        found.select(F.col("row").alias("_repeat_row"), F.col("spans").alias("_repeat_spans")), "_repeat_row"
-    )
-    rest = keyed.join(F.broadcast(keys) if few <= SENT_KEYS else keys, "_repeat_row", "left_anti")
-    return hit.drop("_repeat_row").unionByName(rest.drop("_repeat_row"), allowMissingColumns=True)
+    hit = only_keys(keyed, keys, [row], few).join(found.select(F.col("row").alias(row), F.col("spans").alias(spans)), row)
+    rest = keyed.join(F.broadcast(keys) if few <= SENT_KEYS else keys, row, "left_anti")
+    return hit.drop(row).unionByName(rest.drop(row), allowMissingColumns=True)
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -268,7 +282,7 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return in_batches(
-        with_spans(slim, covered(slim, length)).select("doc_id", "text", "_repeat_spans"),
+        with_spans(slim, covered(slim, length), "spans"),
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -279,19 +293,20 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Bytes of a character of which only a part is covered go, too. A null text stays null.
     """
     names = docs.columns
+    (found,) = free_names(docs, "_repeat_spans")
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
-            spans = batch.column(batch.schema.get_field_index("_repeat_spans")).to_pylist()
-            for i, found in enumerate(spans):
-                if found:
-                    texts[i] = kept_bytes(texts[i].encode(), joined_spans(found)).decode("utf-8", "ignore")
+            spans = batch.column(batch.schema.get_field_index(found)).to_pylist()
+            for i, ranges in enumerate(spans):
+                if ranges:
+                    texts[i] = kept_bytes(texts[i].encode(), joined_spans(ranges)).decode("utf-8", "ignore")
             batch = batch.set_column(at, "text", pa.array(texts, pa.string()))
             yield batch.select(names)
 
-    out = in_batches(with_spans(docs, covered(docs, length)).select(*names, "_repeat_spans"), run, docs.schema)
+    out = in_batches(with_spans(docs, covered(docs, length), found).select(*names, found), run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
