@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.llm.components import components
 from millwright.llm.stored import in_batches, only_keys, whole_groups, written
@@ -87,11 +87,19 @@ def compared(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return may_link(corrected(equal, filled), filled, size_a, size_b)
 
 
+def row_of(key: str = "doc_id", text: str = "text") -> Column:
+    """A number for key and text; with the signature of its set it names a text."""
+    return F.xxhash64(key, text)
+
+
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, sig1, sig2, registers``: size, signature and registers of each set."""
+    """``key, row, n_shingles, sig1, sig2, registers``: size, signature and registers of each set.
+
+    ``row`` stands for key and text, so rows are told apart whose key is null or repeated.
+    """
     def run(batches):
         for batch in batches:
-            data, offsets = flat(batch.column(1))
+            data, offsets = flat(batch.column(2))
             sizes, sig1, sig2, sketch = [], [], [], []
             for a, b in slices(offsets):
                 hashes, ranges = shingle_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -103,16 +111,16 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                     sketch.append(registers_of(own).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int64()),
+                    batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                     pa.array(np.array(sig1, np.uint64).view(np.int64)), pa.array(np.array(sig2, np.uint64).view(np.int64)),
                     pa.array(sketch, pa.binary()),
                 ],
-                ["key", "n_shingles", "sig1", "sig2", "registers"],
+                ["key", "row", "n_shingles", "sig1", "sig2", "registers"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_shingles long, sig1 long, sig2 long, registers binary"
-    return in_batches(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), run, schema)
+    schema = f"key {kind}, row long, n_shingles long, sig1 long, sig2 long, registers binary"
+    return in_batches(docs.select(F.col(key).alias("key"), row_of(key, text).alias("row"), F.col(text).alias("text")), run, schema)
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -128,9 +136,9 @@ def bands(classes: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, packed: bool = False) -> DataFrame:
-    """``key, shingles``: the sorted set of shingle hashes of those ``docs(key, text)`` that stand for a class.
+    """``key, shingles``: the sorted set of shingle hashes of the text ``docs(row, text)`` that stands for each class.
 
-    The sets are arrays, or with ``packed`` their bytes.
+    ``classes(key, row, sig1)``. The sets are arrays, or with ``packed`` their bytes.
     """
     kind = pa.binary() if packed else pa.list_(pa.int64())
 
@@ -143,14 +151,13 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, packed: bool = False) -> D
                 sums = np.array([own.sum(dtype=np.uint64) for own in sets], np.uint64).view(np.int64)
                 cells = [own.tobytes() if packed else own.view(np.int64) for own in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sums), pa.array(cells, kind)], ["key", "sig1", "shingles"]
+                    [batch.column(0).slice(a, b - a), pa.array(sums), pa.array(cells, kind)], ["row", "sig1", "shingles"]
                 )
 
-    kind_of_key = docs.schema["key"].dataType.simpleString()
-    schema = f"key {kind_of_key}, sig1 long, shingles {'binary' if packed else 'array<bigint>'}"
-    wanted = classes.select("key", "sig1")
-    read = only_keys(docs.select("key", "text"), wanted.select("key"), ["key"], wanted.count())
-    return in_batches(read, run, schema).join(wanted, ["key", "sig1"]).dropDuplicates(["key"]).select("key", "shingles")
+    schema = f"row long, sig1 long, shingles {'binary' if packed else 'array<bigint>'}"
+    wanted = classes.select("key", "row", "sig1")
+    read = only_keys(docs.select("row", "text"), wanted.select("row").distinct(), ["row"], wanted.count())
+    return in_batches(read, run, schema).join(wanted, ["row", "sig1"]).dropDuplicates(["key"]).select("key", "shingles")
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -175,7 +182,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets have a similarity of at least 0.75."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(shingle_sets(docs, written(classes.join(keys, "key").select("key", "sig1"), "wanted")), "sets")
+    sets = written(shingle_sets(docs, written(classes.join(keys, "key").select("key", "row", "sig1"), "wanted")), "sets")
     side = lambda n: sets.select(F.col("key").alias(n), F.col("shingles").alias(f"s{n}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -345,7 +352,7 @@ def strip_links(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.nda
 def across(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links between different components of a cluster, enough to join what is linked.
 
-    ``members(cluster, key, sig1, component, n_shingles, registers)``. Sizes of linked sets
+    ``members(cluster, key, row, sig1, component, n_shingles, registers)``. Sizes of linked sets
     differ by a third at most, so a document meets those of its own size grade and of the
     one below. Each such group is cut into blocks, and each task compares two of them.
     """
@@ -379,27 +386,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents are linked when 100 * intersection >= 75 * union of their sets. A null
     text or one without words has an empty set and no links. Rows that repeat a key
-    are all returned; if their texts differ, the one with the smallest signature links. A row with a null key takes the
-    component of the documents with an equal set and is kept only without any; it
-    links nothing by itself. An empty table gives no rows.
+    are all returned, and each text of theirs links by itself. A row with a null key links
+    like any other; a component takes its smallest key that is not null, and
+    rows with a null key are kept only where there is none. An empty table gives no rows.
     """
     own = written(sketches(docs), "sketches")
     sig = ["sig1", "sig2", "n_shingles"]
-    classes = written(
-        own.filter("n_shingles > 0").groupBy(*sig).agg(F.min("key").alias("key"), F.first("registers").alias("registers"))
-        .filter("key is not null"),
-        "classes",
+    # One class for each different set, numbered when it is written.
+    classes = own.filter("n_shingles > 0").groupBy(*sig).agg(
+        F.min("key").alias("least"), F.min("row").alias("row"), F.first("registers").alias("registers")
     )
-    whole = F.struct("key", *sig, "registers")
-    single = written(classes.groupBy("key").agg(F.min_by(whole, "sig1").alias("c")).select("c.*"), "single")
-    texts = docs.select(F.col("doc_id").alias("key"), "text").filter("key is not null")
-    banded = bands(single)
+    classes = written(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
+    texts = docs.select(row_of().alias("row"), "text")
+    banded = bands(classes)
     shared = written(
         banded.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).filter("n > 1"), "buckets"
     )
     stars = banded.join(shared, "band").filter("key != head").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
     stars = written(stars, "stars")
-    links = written(confirmed(plausible(stars, single), single, texts), "links")
+    links = written(confirmed(plausible(stars, classes), classes, texts), "links")
     roots = components(links)
     members = (
         banded.join(shared.select("band"), "band")
@@ -407,19 +412,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("band", "key", F.coalesce("component", "key").alias("component"))
     )
     members = written(members, "members")
-    tied = written(ties(members, single), "ties")
+    tied = written(ties(members, classes), "ties")
     if not tied.isEmpty():
         knots = components(tied.select(F.col("component").alias("a"), F.col("tie").alias("b")))
         clusters = knots.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
-        left = tied.select("key", "component").distinct().join(clusters, "component").join(single, "key")
+        left = tied.select("key", "component").distinct().join(clusters, "component").join(classes.drop("least", "sig2"), "key")
         more = written(across(written(left, "left"), texts), "links")
         if not more.isEmpty():
             roots = components(links.unionAll(more))
     placed = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        *sig, F.coalesce("component", "key").alias("_class")
+        *sig, F.coalesce("component", "key").alias("_class"), "least"
     )
-    named = own.join(placed, sig, "left")
-    component = F.coalesce("_class", "key")
+    placed = written(placed, "placed")
+    first = placed.groupBy("_class").agg(F.min("least").alias("_first"))
+    named = own.join(placed.join(first, "_class").select(*sig, "_first"), sig, "left")
+    component = F.coalesce("_first", "key")
     return named.select(
         F.col("key").alias("doc_id"),
         "n_shingles",
