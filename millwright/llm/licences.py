@@ -2,10 +2,12 @@
 
 Each whole text is cut into words once. A hit is a place of a licence word (a word of the
 templates that is no function word), kept with the few words around it. The document
-counts of the licence words over the whole corpus give their weights. For each template
-the two rarest words of its key phrase are looked up among a file's hits; their places,
-shifted by the words' places in the phrase, must agree on where the phrase starts. Each
-agreed start is verified word by word. Nothing is shuffled but the word counts.
+counts of the licence words over the whole corpus give their weights. The index is one map from a
+word to its postings, (template, place in it), so a hit costs its word's postings, however many
+templates there are. A key phrase has postings for its two rarest words; the starts they
+give (file place minus template place) must meet, and each such start is verified word by word. Without a
+verified phrase a file's rarest licence words vote for (template, start) by weight.
+Nothing is shuffled but the word counts.
 """
 
 from __future__ import annotations
@@ -48,20 +50,34 @@ class Template:
 
 
 TEMPLATES = [Template(label, phrase, phrase, True) for phrase, label in BASE.items()] + [
-    Template("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
-    Template("gpl-2.0", "gnu general public license version 2", "gnu general public license version 2 free software foundation"),
-    Template("gpl-3.0", "gnu general public license version 3", "gnu general public license version 3 free software foundation"),
-    Template("lgpl", "gnu lesser general public license", "gnu lesser general public license free software foundation"),
-    Template("cc-by-nc", "cc by nc", "licensed under cc by nc 4 0"),
-    Template("cc-by-sa", "cc by sa", "licensed under cc by sa 4 0"),
-    Template("mpl", "mozilla public license", "subject to the terms of the mozilla public license"),
+    Template("apache-2.0", "apache license version 2 0",
+             "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+    Template("gpl-2.0", "gnu general public license version 2",
+             "redistribute it and or modify it under the terms of the gnu general public license version 2 "
+             "as published by the free software foundation"),
+    Template("gpl-3.0", "gnu general public license version 3",
+             "redistribute it and or modify it under the terms of the gnu general public license version 3 "
+             "as published by the free software foundation"),
+    Template("lgpl", "gnu lesser general public license",
+             "redistribute it and or modify it under the terms of the gnu lesser general public license "
+             "as published by the free software foundation"),
+    Template("cc-by-nc", "cc by nc", "this work is licensed under cc by nc 4 0 for non commercial use"),
+    Template("cc-by-sa", "cc by sa", "this work is licensed under cc by sa 4 0 share alike"),
+    Template("mpl", "mozilla public license",
+             "this source code form is subject to the terms of the mozilla public license v 2 0"),
     Template("mit", "permission is hereby granted free of charge",
-             "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+             "permission is hereby granted free of charge to any person obtaining a copy of this software "
+             "and associated documentation files to deal in the software without restriction"),
     Template("bsd", "redistribution and use in source and binary forms",
-             "redistribution and use in source and binary forms with or without modification are permitted"),
+             "redistribution and use in source and binary forms with or without modification are permitted "
+             "provided that the following conditions are met"),
     Template("unlicense", "unencumbered software released into the public domain",
-             "free and unencumbered software released into the public domain"),
+             "this is free and unencumbered software released into the public domain"),
 ]
+#: A file's licence words that vote for a notice, the rarest ones.
+TOP_WORDS = 8
+#: Template and place as one number.
+SHIFT = 1 << 32
 
 
 def licence_hits(docs: DataFrame, templates: list[Template] = TEMPLATES) -> DataFrame:
@@ -97,57 +113,115 @@ def word_weights(hits: DataFrame) -> dict[str, float]:
     return {w: math.log((total + 1) / (n + 0.5)) for w, n in counts.items()}
 
 
-def key_starts(template: Template, weights: dict[str, float]) -> Column:
-    """Verified starts of a template's key phrase, as an array of places."""
-    key = template.key
+def ranked_key(template: Template, weights: dict[str, float]) -> list[str]:
+    """The words of a key phrase, rarest first."""
     unseen = max(weights.values(), default=0.0) + 1.0
-    ranked = sorted((w for w in set(key) if w not in FUNCTION_WORDS), key=lambda w: (-weights.get(w, unseen), w))
-    starts_by = lambda w: F.transform(
-        F.filter("hits", lambda h: (h["word"] == w) & (h["place"] >= key.index(w))), lambda h: h["place"] - key.index(w)
-    )
-    agreed = starts_by(ranked[0])
-    if len(ranked) > 1:
-        agreed = F.array_intersect(agreed, starts_by(ranked[1]))
-    at = key.index(ranked[0])
-    spelled = F.transform(
-        F.filter("hits", lambda h: (h["word"] == ranked[0]) & (h["at"] >= at)),
-        lambda h: F.concat_ws(" ", (h["place"] - at).cast("string"), F.slice(h["around"], h["at"] - at + 1, len(key))),
-    )
-    wanted = F.transform(agreed, lambda s: F.concat_ws(" ", s.cast("string"), F.lit(template.phrase)))
-    return F.transform(F.array_intersect(spelled, wanted), lambda s: F.substring_index(s, " ", 1).cast("int"))
+    return sorted({w for w in template.key if w not in FUNCTION_WORDS}, key=lambda w: (-weights.get(w, unseen), w))
+
+
+def postings(entries: dict[str, list[Column]], kind: str) -> Column:
+    """A map from a word to its entries, as one constant."""
+    if not entries:
+        return F.create_map().cast(f"map<string,array<{kind}>>")
+    pairs = [cell for word, own in sorted(entries.items()) for cell in (F.lit(word), F.array(*own))]
+    return F.create_map(*pairs)
+
+
+def looked_up_in(index: Column, word: Column, kind: str) -> Column:
+    return F.coalesce(F.try_element_at(index, word), F.array().cast(f"array<{kind}>"))
+
+
+def code(template: Column, start: Column) -> Column:
+    """Template and start as one number, in the order of templates, then starts (which may lie before the text)."""
+    return template.cast("long") * SHIFT + start.cast("long") + SHIFT // 2
+
+
+def key_starts(templates: list[Template], weights: dict[str, float]) -> Column:
+    """Codes of all verified key phrases, as an array."""
+    firsts: dict[str, list[Column]] = {}
+    seconds: dict[str, list[Column]] = {}
+    for i, t in enumerate(templates):
+        ranked = ranked_key(t, weights)
+        entry = F.struct(
+            F.lit(i).alias("t"), F.lit(t.key.index(ranked[0])).alias("p"), F.lit(len(t.key)).alias("n"), F.lit(len(ranked) == 1).alias("alone")
+        )
+        firsts.setdefault(ranked[0], []).append(entry)
+        if len(ranked) > 1:
+            seconds.setdefault(ranked[1], []).append(F.struct(F.lit(i).alias("t"), F.lit(t.key.index(ranked[1])).alias("p")))
+    phrases = F.array(*[F.lit(t.phrase) for t in templates])
+    kinds = "struct<t:int,p:int,n:int,alone:boolean>", "struct<t:int,p:int>"
+    first, second = postings(firsts, kinds[0]), postings(seconds, kinds[1])
+
+    def begun(h: Column) -> Column:
+        return F.transform(looked_up_in(first, h["word"], kinds[0]), lambda e: F.struct(
+            code(e["t"], h["place"] - e["p"]).alias("code"), e["alone"].alias("alone"),
+            ((h["at"] >= e["p"]) & (F.concat_ws(" ", F.slice(h["around"], F.greatest(h["at"] - e["p"], F.lit(0)) + 1, e["n"])) == F.get(phrases, e["t"])))
+            .alias("spelled"),
+        ))
+
+    starts = F.filter(F.flatten(F.transform("hits", begun)), lambda c: c["spelled"])
+    met = F.flatten(F.transform("hits", lambda h: F.transform(
+        looked_up_in(second, h["word"], kinds[1]), lambda e: code(e["t"], h["place"] - e["p"])
+    )))
+    coded = lambda alone: F.transform(F.filter(starts, lambda c: c["alone"] == alone), lambda c: c["code"])
+    return F.concat(coded(True), F.array_intersect(coded(False), met))
+
+
+def notice_votes(templates: list[Template], weights: dict[str, float]) -> Column:
+    """The largest share of a notice's weight that a file's rarest licence words give to one start of it, 0 to 1."""
+    unseen = max(weights.values(), default=0.0) + 1.0
+    value = lambda w: max(weights.get(w, unseen), 1e-6)
+    index: dict[str, list[Column]] = {}
+    for i, t in enumerate(templates):
+        total = sum(value(w) for w in t.notice.split() if w in t.rare)
+        for p, w in enumerate(t.notice.split()):
+            if w in t.rare:
+                index.setdefault(w, []).append(F.struct(F.lit(i).alias("t"), F.lit(p).alias("p"), F.lit(value(w) / total).alias("v")))
+    kind = "struct<t:int,p:int,v:double>"
+    places = postings(index, kind)
+    rank = F.create_map(*[c for j, w in enumerate(sorted(index, key=lambda w: (-value(w), w))) for c in (F.lit(w), F.lit(j))])
+    ranks = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.try_element_at(rank, h["word"]))))
+    least = F.coalesce(F.get(ranks, F.lit(TOP_WORDS - 1)), F.lit(len(index)))
+    top = F.filter("hits", lambda h: F.try_element_at(rank, h["word"]) <= least)
+    votes = F.array_sort(F.flatten(F.transform(top, lambda h: F.transform(
+        looked_up_in(places, h["word"], kind), lambda e: F.struct(code(e["t"], h["place"] - e["p"]).alias("code"), e["v"].alias("v"))
+    ))))
+    none = F.struct(F.lit(-1).cast("long").alias("code"), F.lit(0.0).alias("run"), F.lit(0.0).alias("best"))
+
+    def add(held: Column, vote: Column) -> Column:
+        run = F.when(held["code"] == vote["code"], held["run"]).otherwise(0.0) + vote["v"]
+        return F.struct(vote["code"].alias("code"), run.alias("run"), F.greatest(held["best"], run).alias("best"))
+
+    return F.least(F.aggregate(votes, none, add)["best"], F.lit(1.0))
 
 
 def scan_licences(docs: DataFrame, templates: list[Template] = TEMPLATES) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every document.
 
     The score is 1 with a verified key phrase; else half the largest share, by weight, of
-    a notice's licence words that the file has. A null text counts as empty: no words, no
+    a notice's licence words that stand where the notice has them, among the ``TOP_WORDS`` rarest
+    licence words of the file. A null text counts as empty: no words, no
     labels (empty strings), score 0. Repeated rows give repeated results; an empty table
     gives no rows.
     """
     hits = written(licence_hits(docs, templates), "licence-hits")
     weights = word_weights(hits)
-    starts = [key_starts(t, weights).alias(f"_{i}") for i, t in enumerate(templates)]
-    unseen = max(weights.values(), default=0.0) + 1.0
-    shares = []
-    for t in templates:
-        value = {w: max(weights.get(w, unseen), 1e-6) for w in t.rare}
-        present = sum((F.when(F.array_contains("_words", w), v).otherwise(0.0) for w, v in value.items()), F.lit(0.0))
-        shares.append(present / sum(value.values()))
-    placed = hits.select("doc_id", "n_words", F.array_distinct("hits.word").alias("_words"), *starts)
-    base = [i for i, t in enumerate(templates) if t.base]
-    where = F.concat(*[F.col(f"_{i}") for i in base])
-    listed = lambda only: F.array_join(F.array_sort(F.array_distinct(F.filter(
-        F.array(*[F.when(F.size(f"_{i}") > 0, templates[i].label) for i in only]), lambda x: x.isNotNull()
-    ))), ",")
-    placed = placed.withColumn("_base", where).withColumn("labels", listed(range(len(templates))))
-    return placed.select(
+    found = hits.select(
+        "doc_id", "n_words", key_starts(templates, weights).alias("_keys"), notice_votes(templates, weights).alias("_votes")
+    )
+    template = lambda c: F.floor(c / SHIFT).cast("int")
+    base = F.array(*[F.lit(t.base) for t in templates])
+    names = F.array(*[F.lit(t.label) for t in templates])
+    based = F.filter("_keys", lambda c: F.get(base, template(c)))
+    places = F.transform(based, lambda c: F.pmod(c, F.lit(SHIFT)) - SHIFT // 2)
+    listed = lambda codes: F.array_join(F.array_sort(F.array_distinct(F.transform(codes, lambda c: F.get(names, template(c))))), ",")
+    return found.select(
         "doc_id",
         "n_words",
-        F.size("_base").cast("long").alias("n_base"),
-        F.array_min("_base").cast("long").alias("first_word"),
-        F.array_max("_base").cast("long").alias("last_word"),
-        listed(base).alias("base_labels"),
-        "labels",
-        F.when(F.col("labels") != "", 1.0).when(F.size("_words") == 0, 0.0).otherwise(0.5 * F.greatest(*shares)).alias("score"),
+        F.size(based).cast("long").alias("n_base"),
+        F.array_min(places).cast("long").alias("first_word"),
+        F.array_max(places).cast("long").alias("last_word"),
+        listed(based).alias("base_labels"),
+        listed("_keys").alias("labels"),
+        F.when(F.size("_keys") > 0, 1.0).otherwise(0.5 * F.col("_votes")).alias("score"),
     )
