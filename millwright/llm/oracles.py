@@ -97,3 +97,87 @@ ways AS (SELECT word, word AS root FROM forms UNION ALL
 SELECT f.word, f.form, w.root, f.n::BIGINT AS n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
 FROM forms f JOIN ways w ON w.word = f.word
 WHERE NOT EXISTS (SELECT 1 FROM forms g WHERE g.word = w.root AND g.form IS NOT NULL)"""
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def licence_places(base: dict[str, str]) -> str:
+    """Words of each document and the places of the base phrases."""
+    phrases = ", ".join(f"({phrase.split()!r}, '{label}')" for phrase, label in base.items())
+    return f"""WITH cut AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+places AS (
+    SELECT doc_id, label, spot - 1 AS place
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS spot FROM cut), (VALUES {phrases}) p(phrase, label)
+    WHERE words[spot] = phrase[1] AND words[spot : spot + len(phrase) - 1] = phrase)
+SELECT c.doc_id, len(any_value(c.words))::BIGINT AS n_words, count(label)::BIGINT AS n_base, min(place)::BIGINT AS first_word,
+       max(place)::BIGINT AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM cut c LEFT JOIN places p USING (doc_id) GROUP BY c.doc_id"""
+
+
+def nearest_ids(every: int = 50, k: int = 5) -> str:
+    """The nearest rows of each query by exact cosines."""
+    return f"""WITH usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)) > 0),
+sized AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM usable),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_dot_product(q.v, c.v) / (q.size * c.size) AS score
+    FROM sized q JOIN sized c ON q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+SELECT query_id::BIGINT AS query_id, rank::INT AS rank, vec_id::BIGINT AS vec_id, round(score, 9) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM scored) WHERE rank <= {k}"""
+
+
+def edits() -> str:
+    """Each text with its last quarter replaced by the beginning of the next one."""
+    return """WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+           coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first(coalesce(text, '')) OVER (ORDER BY doc_id)) AS following
+    FROM documents)
+SELECT doc_id, n::BIGINT AS n_chars,
+       sha256(substr(text, 1, n - n // 4) || substr(following, 1, n // 4)) AS edited_sha256
+FROM texts"""
+
+
+def near_duplicates(share: int = 75) -> str:
+    """Shingle sets, all links between different sets, and the smallest document that links lead to."""
+    return f"""WITH RECURSIVE cut AS (
+    SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM cut)),
+coded AS (SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingles),
+sets AS (SELECT doc_id, list(s ORDER BY s) AS whole, count(*) AS n FROM coded GROUP BY doc_id),
+classes AS (SELECT min(doc_id) AS c, whole, any_value(n) AS n FROM sets GROUP BY whole),
+members AS (SELECT c, n, unnest(whole) AS s FROM classes),
+pairs AS (SELECT a.c AS a, b.c AS b FROM members a JOIN members b ON a.s = b.s AND a.c < b.c
+    GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= {share} * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reached AS (SELECT c AS a, c AS b FROM classes UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+roots AS (SELECT a AS c, min(b) AS component FROM reached GROUP BY a),
+placed AS (SELECT s.doc_id, s.n, r.component FROM sets s JOIN classes c USING (whole) JOIN roots r USING (c))
+SELECT d.doc_id, coalesce(p.n, 0)::BIGINT AS n_shingles, coalesce(p.component, d.doc_id) AS component_id,
+       coalesce(p.component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN placed p USING (doc_id)"""
+
+
+def repeated_strings(length: int = 400) -> str:
+    """Every string of ``length`` bytes of every text, counted; bytes under those that start twice go."""
+    return f"""WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+starts AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * length})) AS s
+    FROM (SELECT doc_id, h, unnest(range(0, n - {length} + 1)) AS i FROM texts WHERE n >= {length})),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS c FROM starts) WHERE c > 1),
+runs AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {length} THEN 0 ELSE 1 END AS fresh FROM again)),
+spans AS (SELECT doc_id, run, min(i) AS low, max(i) + {length} AS high FROM runs GROUP BY doc_id, run),
+kept AS (
+    SELECT s.doc_id, sum(high - low) AS gone, count(*) AS spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) || any_value(substr(h, 2 * last + 1)) AS rest
+    FROM (SELECT *, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS before, max(high) OVER (PARTITION BY doc_id) AS last
+          FROM spans) s JOIN texts USING (doc_id) GROUP BY s.doc_id)
+SELECT t.doc_id, t.n::BIGINT AS n_bytes, coalesce(k.gone, 0)::BIGINT AS n_removed, coalesce(k.spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(k.rest, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)"""

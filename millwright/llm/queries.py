@@ -10,14 +10,14 @@ from millwright.llm.alignment import align_tokenizers
 from millwright.llm.bpe import encode_digests
 from millwright.llm.fingerprints import document_fingerprints
 from millwright.llm.hilbert import document_shards
-from millwright.llm.licences import scan_licences
+from millwright.llm.licences import BASE, scan_licences
 from millwright.llm.mixing import chosen
 from millwright.llm.neardup import near_duplicates
 from millwright.llm.neighbours import nearest
 from millwright.llm.quality import quality_scores
 from millwright.llm.repeats import repeat_digests
 from millwright.llm.spelling import spelling_variants
-from millwright.llm.tokenfiles import token_counts, write_token_files
+from millwright.llm.tokenfiles import document_places, file_numbers, token_counts, write_token_files
 from millwright.llm.toxicity import toxicity_scores
 from millwright.session import fresh_path
 
@@ -71,10 +71,13 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document in flat files that Spark writes from all documents."""
     folder = fresh_path(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    docs = table(spark, sf_dir, "documents")
+    write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
     counts = token_counts(spark, folder)
-    numbers = F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 1).cast("int"), F.regexp_extract("file", r"part-(\d+)-.*-c(\d+)", 2).cast("int")
-    return counts.select(numbers[0].alias("part"), numbers[1].alias("piece"), "doc_no", "first_token", "n_tokens")
+    found = counts.select(*file_numbers(F.col("file")), "doc_no", "first_token", "n_tokens")
+    return document_places(docs).join(found, ["part", "piece", "doc_no"], "left").select(
+        "doc_id", "part", "piece", "doc_no", "first_token", "n_tokens"
+    )
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,15 +112,36 @@ def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(table(spark, sf_dir, "documents"), *paths)
 
 
+def licence_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can state of the licence scan: words, and places of the base phrases."""
+    return op1_licence_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def nearest_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors with nine digits of the cosine."""
+    return op2_nearest_vectors(spark, sf_dir).withColumn("score", F.round("score", 9))
+
+
+def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can state of the fingerprints: lengths and edited texts."""
+    return op4_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_nearest_vectors, op3_quality, op4_fingerprints, op5_near_duplicates,
         op6_token_counts, op7_toxicity, op8_repeated_strings, op9_mixture, op10_byte_pairs,
         op11_hilbert_shards, op12_spelling_variants, op13_tokenizer_alignment,
+        licence_places, nearest_rounded, fingerprint_edits,
     )
 }
 ORACLES: dict[str, str] = {
+    "licence_places": oracles.licence_places(BASE),
+    "nearest_rounded": oracles.nearest_ids(),
+    "fingerprint_edits": oracles.edits(),
+    "op5_near_duplicates": oracles.near_duplicates(),
+    "op8_repeated_strings": oracles.repeated_strings(),
     "op11_hilbert_shards": oracles.sharding(),
     "op12_spelling_variants": oracles.spelling(),
 }
