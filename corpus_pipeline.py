@@ -12,16 +12,21 @@ from millwright.llm.neardup import near_duplicates
 from millwright.llm.quality import KEEP_FROM, fit, score_quality
 from millwright.llm.queries import BUDGET, EPOCHS, PATH, SEED, mix_weights, table, with_domain
 from millwright.llm.repeats import without_repeats
-from millwright.llm.stored import SENT_KEYS, written
+from millwright.llm.stored import SENT_KEYS, free_names, written
 from millwright.session import fresh_path
 
+#: Bytes of a string that the documents lose where it stands elsewhere. A passage of 50 words has some
+#: 300 bytes here, so the 400 bytes of the registered query would leave it.
+REPEAT_BYTES = 250
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose quality score is high enough."""
     model = fit(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
-    slim = docs.withColumnsRenamed({"score": "_score_before"} if "score" in docs.columns else {})
+    (before,) = free_names(docs, "_score_before")
+    slim = docs.withColumnsRenamed({"score": before} if "score" in docs.columns else {})
     scored = score_quality(slim, model).filter(F.col("score") >= KEEP_FROM).drop("score")
-    return scored.withColumnsRenamed({"_score_before": "score"}).select(*docs.columns)
+    return scored.withColumnsRenamed({before: "score"}).select(*docs.columns)
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,21 +35,22 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Each row has a number of its own, written with the rows, so that rows without an id and rows
     that repeat one are told apart. A row that is in no group stays.
     """
-    tie = F.xxhash64("doc_id", "text")
-    numbered = written(docs.withColumns({"_row": F.monotonically_increasing_id(), "_tie": tie}), "numbered")
-    found = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"))
-    found = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_tie", "_row")
-    placed = written(found.join(numbered.select("_row", "_tie", "doc_id"), "_row"), "groups")
-    first = placed.groupBy("_group").agg(F.min(place).alias("first")).select("first._row")
-    copies = written(placed.select("_row").join(first, "_row", "left_anti"), "copies")
+    row, tie = free_names(docs, "_row", "_tie")
+    numbered = written(docs.withColumns({row: F.monotonically_increasing_id(), tie: F.xxhash64("doc_id", "text")}), "numbered")
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    keys = numbered.select(F.col(row).alias("row"), F.col(tie).alias("tie"), "doc_id")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row")
+    placed = written(found.join(keys, "row"), "groups")
+    first = placed.groupBy("group").agg(F.min(place).alias("first")).select("first.row")
+    copies = written(placed.select("row").join(first, "row", "left_anti").withColumnRenamed("row", row), "copies")
     sent = F.broadcast(copies) if copies.count() <= SENT_KEYS else copies
-    return numbered.join(sent, "_row", "left_anti").select(*docs.columns)
+    return numbered.join(sent, row, "left_anti").select(*docs.columns)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the strings of 400 bytes that also stand elsewhere."""
-    return without_repeats(docs)
+    """The documents without the strings of ``REPEAT_BYTES`` bytes that also stand elsewhere."""
+    return without_repeats(docs, REPEAT_BYTES)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
