@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions.columns import missing, value_or_null
 from millwright.operators.ranks import percentiles
@@ -15,6 +15,8 @@ from millwright.operators.ranks import percentiles
 QUARTILES = [0.25, 0.5, 0.75]
 # A sum of squares below this share of the uncentred one is that of a constant.
 CONSTANT = 1e-12
+# Parts whose sums a task holds at a time.
+MOST_PARTS = 64
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 
@@ -102,23 +104,56 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
     numbers = df.select(*[value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)])
     middle = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
-    means = np.array([middle[c] or 0.0 for c in numbers.columns])
-    size = len(columns)
+    sums = gram_sums(df, columns, [middle[c] or 0.0 for c in numbers.columns])
+    return correlations_of(sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in "nsqp"]), columns)
+
+
+def gram_sums(df: DataFrame, columns: list[str], shift: list[float], part: Column | None = None) -> DataFrame:
+    """``part, i, j, n, s, q, p``: sums over the rows complete in columns i and j, of every part, as each task finds them.
+
+    ``n`` counts rows; ``s``, ``q`` and ``p`` add up x, its square and the product of both, taken from ``shift``.
+    """
+    size, middle = len(columns), np.array(shift)
+    cells_of = [value_or_null(df, name).alias(f"_{i}") for i, name in enumerate(columns)]
+    numbers = df.select((F.lit("") if part is None else part.cast("string")).alias("part"), *cells_of)
+
+    def of(sums: dict) -> pa.RecordBatch:
+        names = [name for name in sums for _ in range(size)]
+        columns_of = [pa.array([row for s in sums.values() for row in s[k]], pa.list_(pa.float64())) for k in range(4)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(list(range(size)) * len(sums), pa.int32()), *columns_of], ["part", "i", "n", "s", "q", "p"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((4, size, size))
+        sums: dict = {}
         for batch in batches:
-            cells = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) if batch.num_rows else np.zeros((0, size))
-            there = ~np.isnan(cells)
-            x = np.where(there, cells - means, 0.0)
-            mask = there.astype(float)
-            sums += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
-        columns_of = [pa.array(list(part), pa.list_(pa.float64())) for part in sums]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), *columns_of], ["i", "n", "s", "q", "p"])
-
-    kind = "i int, n array<double>, s array<double>, q array<double>, p array<double>"
-    parts = numbers.mapInArrow(run, kind).select("i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "_sums"))
-    gram = parts.groupBy("i", "j").agg(*[F.sum(f"_sums.{c}").alias(c) for c in "nsqp"])
+            if not batch.num_rows:
+                continue
+            cells = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[1:]], axis=1)
+            codes = batch.column(0).dictionary_encode()
+            own = codes.indices.fill_null(len(codes.dictionary)).to_numpy()
+            for code, name in enumerate([*codes.dictionary.to_pylist(), None]):
+                rows = cells if len(codes.dictionary) == 1 and code == 0 and not codes.null_count else cells[own == code]
+                if not len(rows):
+                    continue
+                there = ~np.isnan(rows)
+                x = np.where(there, rows - middle, 0.0)
+                mask = there.astype(float)
+                sums[name] = sums.get(name, 0) + np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+            if len(sums) > MOST_PARTS:
+                yield of(sums)
+                sums = {}
+        if sums:
+            yield of(sums)
+
+    kind = "part string, i int, n array<double>, s array<double>, q array<double>, p array<double>"
+    return numbers.mapInArrow(run, kind).select(
+        "part", "i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "_sums")
+    ).select("part", "i", "j", "_sums.*")
+
+
+def correlations_of(gram: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_a, column_b, correlation`` from the sums ``i, j, n, s, q, p`` of every ordered pair."""
     # Sums of one column over the rows that the other one has, too; one row for each pair of columns.
     other = gram.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("q").alias("q2"))
     spread_of = lambda s, q: F.when(F.col(q) - F.col(s) * F.col(s) / F.col("n") > CONSTANT * F.col(q), F.col(q) - F.col(s) * F.col(s) / F.col("n"))

@@ -191,7 +191,7 @@ ORACLES = {
     "profile_job": """
         SELECT 'missing' AS report, CAST(6 AS BIGINT) AS rows UNION ALL SELECT 'missing_nonzero', 0 UNION ALL SELECT 'summary', 3
         UNION ALL SELECT 'density', 600 UNION ALL SELECT 'correlation', 9
-        UNION ALL SELECT 'histogram', sum(n) FROM (
+        UNION ALL SELECT 'histogram', CAST(sum(n) AS BIGINT) FROM (
             SELECT count(DISTINCT least(floor((x - low) / (high - low) * 30.0), 29)) AS n FROM (
                 SELECT c, x, min(x) OVER (PARTITION BY c) AS low, max(x) OVER (PARTITION BY c) AS high FROM (
                     SELECT 'a' AS c, CAST(p_partkey AS DOUBLE) AS x FROM part UNION ALL SELECT 'b', p_size FROM part

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millwright.functions.columns import numeric_columns
 from millwright.operators.density import histogram, kernel_density
 from millwright.operators.profile import correlations, missing_counts, only_missing, summary
+from millwright.operators.profile_state import add_parts, merged_correlations, merged_summary
 from millwright.queries.views import digits, q, table
+from millwright.session import fresh_path
 
 LINE_NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -77,7 +79,35 @@ def kde_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_year(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Line items with gaps, and the folder of a profile to which their years were added one after the other."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("year"), F.nullif(F.col("l_quantity"), F.lit(10.0)).alias("l_quantity"), "l_extendedprice",
+        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("l_tax"),
+    )
+    folder = fresh_path(spark, "profile-state")
+    add_parts(lines.filter("year < 1995"), _YEARLY, "year", folder)
+    for later in ("year >= 1995", "year = 1996"):  # a year that is added again replaces itself
+        add_parts(lines.filter(later), _YEARLY, "year", folder)
+    return lines, folder
+
+
+_YEARLY = ["l_quantity", "l_extendedprice", "l_tax"]
+
+
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a table whose parts were profiled one by one."""
+    lines, folder = _by_year(spark, sf_dir)
+    return digits(merged_summary(spark, folder, lines), ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+def corr_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digits(merged_correlations(spark, _by_year(spark, sf_dir)[1]), ["correlation"])
+
+
 QUERIES = {
+    "profile_merged": profile_merged,
+    "corr_merged": corr_merged,
     "profile_numeric": profile_numeric,
     "profile_parts": profile_parts,
     "profile_missing": profile_missing,
@@ -165,7 +195,23 @@ def _kde_sql(source: str, column: str, factor: str, places: int) -> str:
     """
 
 
+_YEARLY_SQL = "SELECT nullif(l_quantity, 10) AS l_quantity, l_extendedprice, nullif(l_tax, 0) AS l_tax FROM lineitem"
+
+
+def _corr_plain(source: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, {q('1.0' if a == b else f'corr({a}, {b})')} AS correlation FROM ({source})"
+        for a in columns for b in columns
+    ).replace("(round(CAST(1.0 AS DOUBLE), 6) + 0.0) AS correlation FROM", "any_value(1.0::DOUBLE) AS correlation FROM")
+
+
 ORACLES = {
+    "profile_merged": f"""
+        SELECT s.*, m.missing_count FROM ({_summary_sql(_YEARLY_SQL, _YEARLY)}) s JOIN (
+            {' UNION ALL '.join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_count FROM ({_YEARLY_SQL})" for c in _YEARLY)}
+        ) m USING (column_name)
+    """,
+    "corr_merged": _corr_plain(_YEARLY_SQL, _YEARLY),
     "profile_numeric": _summary_sql(_HOLES, _HOLED_NUMBERS),
     "profile_parts": _summary_sql("SELECT * FROM part", ["p_partkey", "p_size", "p_retailprice"]),
     "profile_missing": _missing_sql(["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "constant"]),

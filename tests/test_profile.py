@@ -10,6 +10,7 @@ from millwright.functions.columns import categorical_columns, columns_by_role, n
 from millwright.functions.features import engineered
 from millwright.operators.density import histogram, kernel_densities, kernel_density
 from millwright.operators.profile import correlations, missing_counts, summary
+from millwright.operators.profile_state import add_parts, merged_correlations, merged_summary
 from millwright.operators.ranks import percentiles
 from millwright.plans.profiling import profile_job
 
@@ -151,3 +152,41 @@ def test_feature_golden(spark):
     assert rows[0].wear_rate == 3 / (1500 + 1e-8) and rows[1].wear_rate == pytest.approx(3e8)
     assert rows[0].t_squared == 1600 and rows[0].t_cubed == 64000
     assert len(rows[0]) == 5 + 3 + 10
+
+
+def test_a_profile_grows_part_by_part(spark, tmp_path):
+    """Merged parts give the profile of the whole; a part that is added again replaces itself and nothing else is read."""
+    rng = random.Random(9)
+    rows = [(f"d{i % 4}", rng.gauss(1e5, 2) if i % 7 else None, rng.random() if i % 3 else float("nan"), 5) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "day string, a double, b double, same int")
+    names, folder = ["a", "b", "same"], str(tmp_path / "state")
+    for i in range(4):
+        add_parts(df.filter(F.col("day") == f"d{i}"), names, "day", folder)
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    again = df.filter("day = 'd2'").mapInArrow(run, df.schema)
+    add_parts(again, names, "day", folder)
+    assert seen.value <= 2 * 1_000
+    want = {r.column_name: r for r in summary(df, names).collect()}
+    exact = {r.column_name: r for r in merged_summary(spark, folder, df).collect()}
+    rough = {r.column_name: r for r in merged_summary(spark, folder).collect()}
+    for name in names:
+        w, e, q = want[name], exact[name], rough[name]
+        assert e["count"] == w["count"] and e.missing_count == 4_000 - w["count"]
+        for x in ("mean", "std", "min", "max", "p25", "p50", "p75"):
+            assert getattr(e, x) == pytest.approx(getattr(w, x), rel=1e-9, abs=1e-9)
+        values = sorted(r[name] for r in df.collect() if r[name] is not None and r[name] == r[name])
+        for p, x in ((0.25, q.p25), (0.5, q.p50), (0.75, q.p75)):
+            at = sum(v < x for v in values) / len(values), sum(v <= x for v in values) / len(values)
+            assert at[0] - 0.01 <= p <= at[1] + 0.01
+    whole = {(r.column_a, r.column_b): r.correlation for r in correlations(df, names).collect()}
+    parts = {(r.column_a, r.column_b): r.correlation for r in merged_correlations(spark, folder).collect()}
+    assert {k: v is None for k, v in parts.items()} == {k: v is None for k, v in whole.items()}
+    assert all(v is None or v == pytest.approx(whole[k], abs=1e-9) for k, v in parts.items())
+    with pytest.raises(ValueError, match="has the columns"):
+        add_parts(df, ["a"], "day", folder)

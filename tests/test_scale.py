@@ -278,3 +278,17 @@ def test_learning_curve_is_bounded_and_repeats(spark, fused):
     whole = curve(fused, most_rows=None)
     assert sum(r[2] for r in whole if r[1] == 1.0 and r[3] == "train") == 4 * 900
     assert all(r[4] > 0.8 for r in whole if r[3] == "validation" and r[1] == 1.0)
+
+
+def test_failing_attributions_leave_the_other_reports(spark, fused, monkeypatch):
+    from millwright.plans import evaluation
+
+    model = fit_forest(fused, Recipe(**SMALL))
+
+    def fail(*_, **__):
+        raise MemoryError("too many leaves")
+
+    monkeypatch.setattr(evaluation, "shap_values", fail)
+    found = evaluation.evaluate(fused, model, ["id"], ["id"])
+    assert "shap" not in found and "too many leaves" in found["shap_error"].first().error
+    assert found["scored"].count() == 900 and found["metrics"].count() > 5 and found["importances"].count() == 10
