@@ -40,6 +40,11 @@ def rf_balanced_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(models.rf_balanced_predict(spark, sf_dir))
 
 
+def batch_score_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, scored by a model that was stored and loaded."""
+    return _sound(models.batch_score(spark, sf_dir))
+
+
 def last_20_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(models.score_last_20(spark, sf_dir))
 
@@ -128,6 +133,7 @@ def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "rf_predict_sound": rf_predict_sound,
     "rf_balanced_sound": rf_balanced_sound,
+    "batch_score_sound": batch_score_sound,
     "last_20_sound": last_20_sound,
     "stream_agrees": stream_agrees,
     "shap_adds_up": shap_adds_up,
@@ -156,6 +162,7 @@ _FEATURES = f"({SLOTS} + (SELECT count(DISTINCT l_linenumber) FROM lineitem))"
 ORACLES = {
     "rf_predict_sound": f"SELECT {LINE_ORDER}, TRUE AS sound FROM ({_HELD_OUT})",
     "rf_balanced_sound": f"SELECT {LINE_ORDER}, TRUE AS sound FROM ({_HELD_OUT})",
+    "batch_score_sound": f"SELECT {LINE_ORDER}, TRUE AS sound FROM lineitem",
     "last_20_sound": f"""
         SELECT {LINE_ORDER}, TRUE AS sound FROM lineitem
         ORDER BY l_shipdate DESC, {', '.join(f'{c} DESC' for c in LINE_KEY)} LIMIT 20

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millwright.functions.text import as_report_text
+from millwright.models.validate import fold_metrics, score_counts
 from millwright.operators.classification import (
     accuracy_and_f1,
     class_report,
@@ -13,7 +14,7 @@ from millwright.operators.classification import (
     mean_and_std,
     metrics_report as full_report,
 )
-from millwright.operators.curves import pr_points, roc_auc, roc_auc_by, roc_points
+from millwright.operators.curves import pr_points, roc_auc, roc_points
 from millwright.operators.splits import size_fractions, with_fold, with_prefix_step
 from millwright.queries.splits import LINE_HASH, LINE_HASH_43
 from millwright.session import fresh_path
@@ -89,12 +90,9 @@ def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fold_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and AUC per fold, then mean and deviation over the folds."""
-    rows = _folded(spark, sf_dir)
-    accuracy = rows.groupBy("fold").agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("value")
-    ).select("fold", F.lit("accuracy").alias("metric"), "value")
-    area = roc_auc_by(rows, ["fold"]).select("fold", F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
-    return digits(mean_and_std(accuracy.unionByName(area), ["metric"]), ["mean", "std"])
+    counts = score_counts(_folded(spark, sf_dir).withColumn("split", F.lit("test")))
+    found = fold_metrics(counts).filter("metric <> 'f1'")
+    return digits(mean_and_std(found, ["metric"]), ["mean", "std"])
 
 
 def size_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millwright.functions.columns import columns_by_role, require_columns, require_rows
 from millwright.functions.text import digit_cells
-from millwright.operators.timeline import matrix_long, matrix_lookup, operations_timeline, shop_floor, with_row_clock
+from millwright.operators.timeline import check_jobs, matrix_long, matrix_lookup, operations_timeline, shop_floor, with_row_clock
 from millwright.session import fresh_path
 from millwright.sources.files import read_minutes, read_routes
 from millwright.queries.views import LINE_ORDER, table
@@ -101,7 +102,33 @@ def shop_floor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _raises(run) -> bool:
+    try:
+        run()
+    except (KeyError, ValueError):
+        return True
+    return False
+
+
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each guard on tables that it must let through and on others that it must refuse, with the rows of the good one."""
+    orders = table(spark, sf_dir, "orders")
+    jobs = orders.select(F.col("o_orderkey").alias("job_id"))
+    twice = jobs.unionAll(jobs.limit(1))
+    headed = orders.select(F.col("o_totalprice").alias("Air temperature [K]"), F.col("o_orderkey").alias("UDI"))
+    tried = {
+        "row_count": (lambda: check_jobs(routes=jobs, process=jobs), lambda: check_jobs(routes=jobs, process=twice)),
+        "required_columns": (lambda: require_columns(orders, ["o_orderkey", "o_custkey"]), lambda: require_columns(orders, ["o_orderkey", "no_such"])),
+        "empty_input": (lambda: require_rows(orders), lambda: require_rows(orders.filter("o_orderkey < 0"))),
+        "column_by_text": (lambda: columns_by_role(headed, {"air": "air temp"}), lambda: columns_by_role(headed, {"wear": "tool wear"})),
+    }
+    rows = orders.count()
+    found = [(name, rows, not _raises(good), _raises(bad)) for name, (good, bad) in tried.items()]
+    return spark.createDataFrame(found, "guard string, rows bigint, passes boolean, refuses boolean")
+
+
 QUERIES = {
+    "guards": guards,
     "shop_floor_files": shop_floor_files,
     "flatten_timeline": flatten_timeline,
     "route_parse": route_parse,
@@ -121,6 +148,10 @@ _CLOCK = """
 """
 
 ORACLES = {
+    "guards": """
+        SELECT guard, (SELECT count(*) FROM orders) AS rows, TRUE AS passes, TRUE AS refuses
+        FROM (VALUES ('row_count'), ('required_columns'), ('empty_input'), ('column_by_text')) g(guard)
+    """,
     "shop_floor_files": """
         WITH jobs AS (
             SELECT CAST(row_number() OVER (ORDER BY vec_id) AS INT) AS job_id, embedding,
