@@ -14,8 +14,9 @@ Everything is DataFrame functions.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
-from millwright.llm.stored import SENT_KEYS, looked_up, written
+from millwright.llm.stored import SENT_KEYS, free_names, looked_up, written
 from millwright.operators.prefix import running_totals
 
 #: Cells of all dimensions together; they are numbered in one task and sent to all executors.
@@ -194,24 +195,30 @@ def document_shards(docs: DataFrame, shards: int = 8, law: str = "rows") -> Data
     """``doc_id, lang, source, size, text_crc32, shard, slot`` for every document.
 
     A null text has size 1 and checksum 0; null keys, languages and sources are values of their
-    own; repeated rows have a slot each; other columns are not read; an empty table gives no rows.
+    own; keys may be numbers or texts; repeated rows have a slot each; other columns are not read; an empty table
+    gives no rows.
     """
     tie = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_crc32").cast("string"))
-    return hilbert_shards(slim_documents(docs), DOCUMENT_DIMS, tie, shards, law)
+    slim = slim_documents(docs)
+    text_key = isinstance(slim.schema["doc_id"].dataType, StringType)
+    return hilbert_shards(slim, {**DOCUMENT_DIMS, "doc_id": "value"} if text_key else DOCUMENT_DIMS, tie, shards, law)
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = 8, law: str = "rows") -> None:
     """The documents as one folder for each shard, in the order of the curve inside; all columns are kept.
 
-    Rows are matched by key and text. Each shard is written in pieces of equal runs, so that a
-    reader that filters on language, source, size or key skips most files by their statistics.
+    Rows are matched by key and text; rows that repeat both lie together. Each shard is written in pieces of equal runs, so
+    that a reader that filters on language, source, size or key skips most files by their statistics. The documents must
+    have no column ``shard``.
     """
-    place = document_shards(docs, shards, law)
-    crc = F.crc32(F.coalesce("text", F.lit(""))).cast("long")
-    once = place.groupBy("doc_id", "lang", "source", "text_crc32").agg(F.min("shard").alias("shard"), F.min("slot").alias("_slot"))
-    same = [F.col(f"_d.{c}").eqNullSafe(F.col(f"_p.{c}")) for c in ("doc_id", "lang", "source")]
-    joined = docs.withColumn("_crc", crc).alias("_d").join(
-        once.alias("_p"), [*same, F.col("_crc") == F.col("_p.text_crc32")]
-    ).select(*[F.col(f"_d.{c}") for c in docs.columns], F.col("_p.shard"), F.col("_p._slot"))
-    ranged = joined.repartitionByRange("shard", "_slot").sortWithinPartitions("shard", "_slot").drop("_slot")
+    if "shard" in docs.columns:
+        raise ValueError("the column 'shard' needs another name")
+    keys = ["doc_id", "lang", "source", "text_crc32"]
+    names = free_names(docs, "_crc", "_slot", *[f"_of_{k}" for k in keys])
+    crc, slot, of = names[0], names[1], names[2:]
+    once = document_shards(docs, shards, law).groupBy(*keys).agg(F.min("shard").alias("shard"), F.min("slot").alias(slot))
+    once = once.withColumnsRenamed(dict(zip(keys, of)))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(["doc_id", "lang", "source", crc], of)]
+    joined = docs.withColumn(crc, F.crc32(F.coalesce("text", F.lit(""))).cast("long")).join(once, same).drop(crc, *of)
+    ranged = joined.repartitionByRange("shard", slot).sortWithinPartitions("shard", slot).drop(slot)
     ranged.write.partitionBy("shard").parquet(folder)

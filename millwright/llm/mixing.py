@@ -73,7 +73,8 @@ def chosen(docs: DataFrame, path: list[str], weights: list[Column], total: float
 
     ``total`` is the budget as a share of all tokens. A null in the path is a node of
     its own; a null or empty text has no tokens and is taken in every whole epoch and,
-    by its place, in the prefix. Rows that repeat a key and a text share their place.
+    by its place, in the prefix. Rows that repeat a key and a text share their place
+    and are taken together, so their budget may be passed by the copies.
     """
     slim = written(
         docs.select("doc_id", *path, token_count().alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_row")), "mix-rows"

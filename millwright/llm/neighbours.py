@@ -5,8 +5,8 @@ sign of each coordinate. The inner product of code and rotated vector, kept as a
 correction scalar, turns the inner product of code and query into an unbiased estimate
 of the cosine, with an error bound that shrinks with the root of the dimension. A block
 of rows is searched by a block of queries: estimates and bounds come from the packed
-codes, which alone are sent to the blocks. Only rows whose upper bound reaches the k-th best lower bound,
-of their block and then of all, are looked up and compared in double precision. Every row is in the index; nothing is fitted.
+codes, and only rows whose upper bound reaches the k-th best lower bound are compared
+in double precision. Every row is in the index; nothing is fitted.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millwright.llm.stored import in_batches, written
 
-ROW_BLOCK = 65_536
-QUERY_BLOCK = 4_096
+ROW_BLOCK = 16_384
+#: A row is sent to as many blocks as there are blocks of queries, so these are large.
+QUERY_BLOCK = 16_384
 #: Queries of a block that are estimated at a time.
-STRIP = 256
+STRIP = 512
 #: Width of the error bound in its standard unit; a true neighbour falls outside about once in 500 times.
 WIDTH = 3.0
 
@@ -90,82 +91,48 @@ def index(embeddings: DataFrame, seed: int = 7) -> DataFrame:
     return table.withColumn("mark", F.xxhash64("vector")).dropDuplicates(["vec_id", "size", "mark"])
 
 
-def bounded_pairs(table: DataFrame, queries: DataFrame, k: int, seed: int) -> DataFrame:
-    """``query_id, query_mark, vec_id, mark, low, high``: rows that may be among a query's k nearest of their block.
+def search(table: DataFrame, queries: DataFrame, k: int = 5, seed: int = 7) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k nearest of ``table`` for each row of ``queries``.
 
-    Codes and scalars of the rows and the vectors of the queries meet block by block; the
-    vectors of the rows stay where they are.
+    Both are indexes; a row is no neighbour of itself, and only vectors of equal length are
+    compared. Ties go to the smaller id. Fewer than k candidates give fewer rows; an empty side gives none. Where an
+    id has several vectors, each is a query and a candidate of its own.
     """
     row_blocks = max(1, -(-table.count() // ROW_BLOCK))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    codes = table.select("vec_id", "mark", "size", "code", "own")
-    dealt = codes.withColumn("rb", F.pmod(F.xxhash64("vec_id", "mark"), F.lit(row_blocks)).cast("int")).withColumn("qb", every(query_blocks))
+    dealt = table.withColumn("rb", F.pmod(F.xxhash64("vec_id", "mark"), F.lit(row_blocks)).cast("int")).withColumn("qb", every(query_blocks))
     asked = queries.select("vec_id", "mark", "size", "vector")
     asked = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id", "mark", F.lit(1)), F.lit(query_blocks)).cast("int")).withColumn("rb", every(row_blocks))
-    names = ["query_id", "query_mark", "vec_id", "mark", "low", "high"]
 
     def run(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = [[], [], [], [], [], []]
+        out = {"query_id": [], "mark": [], "vec_id": [], "score": []}
         if len(rows) and len(wanted):
             read = lambda column, kind: np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
-            asked_for, code = read(wanted["vector"], np.float64), read(rows["code"], np.uint8)
-            ids, marks, own = (rows[c].to_numpy() for c in ("vec_id", "mark", "own"))
+            vectors, asked_for = read(rows["vector"], np.float64), read(wanted["vector"], np.float64)
+            codes, ids, own, marks = read(rows["code"], np.uint8), *(rows[c].to_numpy() for c in ("vec_id", "own", "mark"))
             query_ids, query_marks = wanted["vec_id"].to_numpy(), wanted["mark"].to_numpy()
+            lengths = np.sqrt((vectors * vectors).sum(axis=1))
             most = min(k + 1, len(ids))
             for begin in range(0, len(asked_for), STRIP):
-                near, error = estimates(code, own, asked_for[begin : begin + STRIP], seed)
+                near, error = estimates(codes, own, asked_for[begin : begin + STRIP], seed)
                 for at in range(near.shape[1]):
-                    query, mark = query_ids[begin + at], query_marks[begin + at]
+                    query, mark, vector = query_ids[begin + at], query_marks[begin + at], asked_for[begin + at]
                     low, high = near[:, at] - error, near[:, at] + error
                     kth = np.partition(low, len(ids) - most)[len(ids) - most]
                     found = np.flatnonzero((high >= kth) & ((ids != query) | (marks != mark)))
-                    for held, values in zip(out, (np.full(len(found), query), np.full(len(found), mark), ids[found], marks[found], low[found], high[found])):
-                        held.append(values)
-        whole = [np.concatenate(held) if held else np.empty(0) for held in out]
-        kinds = ["int64"] * 4 + ["float64"] * 2
-        return pd.DataFrame({n: v.astype(t) for n, v, t in zip(names, whole, kinds)})
-
-    return dealt.groupBy("size", "rb", "qb").cogroup(asked.groupBy("size", "rb", "qb")).applyInPandas(
-        run, "query_id long, query_mark long, vec_id long, mark long, low double, high double"
+                    score = (vectors[found] * vector).sum(axis=1) / (lengths[found] * np.sqrt((vector * vector).sum()))
+                    best = np.lexsort((ids[found], -score))[:k]
+                    out["query_id"] += [query] * len(best)
+                    out["mark"] += [mark] * len(best)
+                    out["vec_id"] += ids[found[best]].tolist()
+                    out["score"] += score[best].tolist()
+        return pd.DataFrame(out).astype({"query_id": "int64", "mark": "int64", "vec_id": "int64", "score": "float64"})
+
+    found = dealt.groupBy("size", "rb", "qb").cogroup(asked.groupBy("size", "rb", "qb")).applyInPandas(
+        run, "query_id long, mark long, vec_id long, score double"
     )
-
-
-def exact_scores(pairs: DataFrame, table: DataFrame, queries: DataFrame) -> DataFrame:
-    """``query_id, query_mark, vec_id, score``: cosines in double precision of the pairs' own vectors."""
-    rows = table.select("vec_id", "mark", "vector")
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("mark").alias("query_mark"), F.col("vector").alias("asked"))
-    both = pairs.join(rows, ["vec_id", "mark"]).join(asked, ["query_id", "query_mark"]).select("query_id", "query_mark", "vec_id", "vector", "asked")
-
-    def run(batches):
-        for batch in batches:
-            score = np.zeros(batch.num_rows)
-            vectors, wanted = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            sizes = np.array([len(v) for v in vectors])
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                a, b = (np.frombuffer(b"".join(side[i] for i in at), np.float64).reshape(len(at), -1) for side in (vectors, wanted))
-                score[at] = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score)], ["query_id", "query_mark", "vec_id", "score"])
-
-    return in_batches(both, run, "query_id long, query_mark long, vec_id long, score double")
-
-
-def search(table: DataFrame, queries: DataFrame, k: int = 5, seed: int = 7) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k nearest of ``table`` for each row of ``queries``.
-
-    Both are indexes; a row is no neighbour of itself, and only vectors of equal length are
-    compared. Ties go to the smaller id. Fewer than k candidates give fewer rows; an empty side gives none. Where an
-    id has several vectors, each is a query and a candidate of its own.
-
-    Only rows whose upper bound reaches the k-th best lower bound of all blocks are looked up and compared exactly.
-    """
-    pairs = bounded_pairs(table, queries, k, seed)
-    by_low = Window.partitionBy("query_id", "query_mark").orderBy(F.desc("low"))
-    kth = F.nth_value("low", k).over(by_low.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    likely = pairs.withColumn("kth", kth).filter(F.col("kth").isNull() | (F.col("high") >= F.col("kth"))).drop("low", "high", "kth")
-    found = exact_scores(likely, table, queries)
-    order = Window.partitionBy("query_id", "query_mark").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

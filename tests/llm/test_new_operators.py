@@ -67,6 +67,8 @@ def test_shards_of_awkward_rows(odd):
             assert all(abs(sum(r.size for r in rows if r.shard == s) - even) <= most for s in range(8))
     assert document_shards(odd.filter("false")).count() == 0
     assert document_shards(odd.limit(3)).select("shard").distinct().count() == 3
+    text_keys = document_shards(odd.withColumn("doc_id", F.col("doc_id").cast("string"))).collect()
+    assert len(text_keys) == len(TEXTS) and {type(r.doc_id) for r in text_keys} == {str, type(None)}
     with pytest.raises(ValueError):
         hilbert_shards(odd.select("doc_id", "size", F.lit(1).alias("slot")), {"doc_id": "width"}, F.lit("x"))
 
@@ -96,7 +98,10 @@ def test_many_values_of_a_dimension(spark, monkeypatch):
 
 def test_written_shards_have_narrow_ranges_and_all_rows(spark, docs):
     folder = fresh_path(spark, "shards")
-    write_shards(docs, folder)
+    write_shards(docs.withColumns({"_crc": F.lit(1), "_slot": F.lit(2)}), folder)
+    docs = docs.withColumns({"_crc": F.lit(1), "_slot": F.lit(2)})
+    with pytest.raises(ValueError, match="shard"):
+        write_shards(docs.withColumn("shard", F.lit(1)), folder)
     back = spark.read.parquet(folder)
     assert back.drop("shard").exceptAll(docs).isEmpty() and back.count() == docs.count()
     assert set(docs.columns) < set(back.columns)
