@@ -50,14 +50,14 @@ def last_20_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_agrees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line scored once as a stream and once as a batch, by its key."""
+    """Every line scored once as a stream and once as a batch, compared by its key (a few lines share one)."""
     lines = fused_lines(spark, sf_dir)
     model = fit_forest(lines, BALANCED)
-    stream = models.streamed(spark, sf_dir, model).select(
-        *LINE_KEY, F.col("predicted_failure").alias("streamed"), F.col("failure_prob").alias("streamed_prob")
-    )
-    same = (F.col("predicted_failure") == F.col("streamed")) & (F.col("failure_prob") == F.col("streamed_prob"))
-    return score(lines, model).join(stream, LINE_KEY, "full").select(*LINE_KEY, F.coalesce(same, F.lit(False)).alias("agrees"))
+    scores = F.array_sort(F.collect_list(F.struct("predicted_failure", "failure_prob")))
+    batch = score(lines, model).groupBy(*LINE_KEY).agg(scores.alias("batch"), F.count("*").alias("rows"))
+    stream = models.streamed(spark, sf_dir, model).groupBy(*LINE_KEY).agg(scores.alias("stream"))
+    same = F.coalesce(F.col("batch") == F.col("stream"), F.lit(False))
+    return batch.join(stream, LINE_KEY, "full").select(*LINE_KEY, "rows", same.alias("agrees"))
 
 
 def shap_adds_up(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +167,7 @@ ORACLES = {
         SELECT {LINE_ORDER}, TRUE AS sound FROM lineitem
         ORDER BY l_shipdate DESC, {', '.join(f'{c} DESC' for c in LINE_KEY)} LIMIT 20
     """,
-    "stream_agrees": f"SELECT {LINE_ORDER}, TRUE AS agrees FROM lineitem",
+    "stream_agrees": f"SELECT {LINE_ORDER}, count(*) AS rows, TRUE AS agrees FROM lineitem GROUP BY {LINE_ORDER}",
     "shap_adds_up": f"""
         SELECT {LINE_ORDER}, {_FEATURES} AS features, TRUE AS adds_up
         FROM (SELECT * FROM lineitem ORDER BY {LINE_HASH}, {LINE_ORDER} LIMIT {SAMPLE_ROWS})
