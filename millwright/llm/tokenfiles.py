@@ -12,7 +12,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millwright.llm.bpe import encoded, vocabulary
@@ -84,6 +83,9 @@ def block_ends(spark: SparkSession, folder: str, end: int = END, block_tokens: i
                 yield found(name, np.frombuffer(view, KIND, count=view.size // 2), 0, True)
 
     def ranges(batches):
+        # Only workers that read ranges load it.
+        from pyarrow.fs import FileSystem
+
         for batch in batches:
             for name, length, begin in zip(*(c.to_pylist() for c in batch.columns)):
                 # Spark spells a local path with one slash.
