@@ -362,4 +362,4 @@ def test_pipeline_keeps_one_row_of_each_group(spark, sf_dir):
 
 
 def test_registered(spark):
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")] == list(range(1, 14))
