@@ -280,6 +280,13 @@ def test_learning_curve_is_bounded_and_repeats(spark, fused):
     assert all(r[4] > 0.8 for r in whole if r[3] == "validation" and r[1] == 1.0)
 
 
+def test_learning_curve_reads_a_table_once_for_its_sample(spark, fused):
+    rows, seen = counted(spark, fused)
+    points = learning_curve(rows, Recipe(**SMALL), ["id"], folds=2, fractions=[0.5, 1.0], most_rows=500)
+    # Once for the categories, once for the sample; folds, steps and fits read the sample.
+    assert points.count() == 8 and seen.value == 2 * fused.count()
+
+
 def test_failing_attributions_leave_the_other_reports(spark, fused, monkeypatch):
     from millwright.plans import evaluation
 
