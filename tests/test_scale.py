@@ -280,6 +280,27 @@ def test_learning_curve_is_bounded_and_repeats(spark, fused):
     assert all(r[4] > 0.8 for r in whole if r[3] == "validation" and r[1] == 1.0)
 
 
+def test_kept_nodes_change_no_model_and_bound_the_fits_at_once(spark, fused, monkeypatch):
+    from millwright.models import train, validate
+
+    recipe, at_once, each = Recipe(**SMALL), [], validate._each
+
+    def noted(session, work, tasks, parallel):
+        at_once.append(parallel)
+        return each(session, work, tasks, parallel)
+
+    monkeypatch.setattr(validate, "_each", noted)
+    forests, folds = [], []
+    # 900 rows x 5 trees: all nodes are kept, then none; of a fold with 720 rows two fit at once, then none.
+    for most in (2 * 4500 - 1, 0):
+        monkeypatch.setattr(train, "MOST_KEPT_NODES", most)
+        forest = fit_forest(fused, recipe).stages[-1]
+        assert forest.getCacheNodeIds() == (most > 0)
+        forests.append(forest.toDebugString.split("\n", 1)[1])
+        folds.append(sorted(map(tuple, fold_scores(fused, recipe, ["id"]).collect())))
+    assert at_once == [2, 0] and forests[0] == forests[1] and folds[0] == folds[1]
+
+
 def test_learning_curve_reads_a_table_once_for_its_sample(spark, fused):
     rows, seen = counted(spark, fused)
     points = learning_curve(rows, Recipe(**SMALL), ["id"], folds=2, fractions=[0.5, 1.0], most_rows=500)
