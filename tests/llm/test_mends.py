@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millwright.llm import mixing, neardup, neighbours, queries, repeats
+from millwright.llm import licences, mixing, neardup, neighbours, queries, repeats
+from millwright.session import spread
 
 BASE = [f"w{i}" for i in range(60)]
 A = " ".join(BASE)
@@ -173,3 +174,43 @@ def test_token_files_of_any_size_and_their_documents(spark, sf_dir, monkeypatch)
     monkeypatch.setattr(tokenfiles, "RANGE_BLOCKS", 3)
     assert rows() == before
     assert tokenfiles.document_places(docs.filter("false")).count() == 0
+
+
+def held(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+@pytest.fixture
+def one_row_group(spark, tmp_path):
+    """Many splits, of which one holds all rows."""
+    path = str(tmp_path / "documents.parquet")
+    texts = F.concat_ws(" ", F.lit("the apache license"), F.sha2(F.col("id").cast("string"), 512))
+    spark.range(4000).select(F.col("id").alias("doc_id"), texts.alias("text"), F.lit("x").alias("_place")).coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    yield spark.read.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_of_one_row_group_are_dealt_over_the_cores(spark, one_row_group):
+    docs = one_row_group
+    assert docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and held(docs) == [4000]
+    dealt = spread(docs)
+    assert dealt.columns == docs.columns and sorted(dealt.collect()) == sorted(docs.collect())
+    assert max(held(dealt)) < 1000
+    # The scan of licences cuts its words in all of the parts.
+    hits = licences.licence_hits(docs)
+    assert max(held(hits)) < 1000 and hits.count() == 4000
+
+
+def test_even_and_empty_inputs_are_not_dealt(spark):
+    for even in (spark.range(0, 4000, 1, 16), spark.range(0)):
+        assert spread(even) is even
+
+
+def test_listed_characters_make_the_words_of_the_ranges(spark):
+    texts = ["".join(f"{chr(c)}a{c}" for c in range(0x250)), "Ab9\u00e9\U0001f600z, \x7f\x80_-x", "", "[]^\\ \n\r\t\0"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    cut = lambda pattern: F.regexp_extract_all("text", F.lit(pattern), 0)
+    for row in df.select(cut(licences.WORD).alias("ranges"), cut(licences.LISTED_WORD).alias("listed")).collect():
+        assert row.ranges == row.listed
