@@ -22,8 +22,8 @@ from millwright.session import spread
 
 # Characters that make words, phrases and their labels.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: The same, character by character: Java looks these up in one table. It joins ranges by nested objects, whose
-#: checks all threads of a JVM contend for (eight threads took seven times the CPU seconds of one).
+#: The same, character by character: Java looks these up in one table. It joins ranges by nested objects,
+#: on which eight threads of one JVM took seven times the CPU seconds of one.
 LISTED_WORD = "[^" + "".join(rf"\x{c:02X}" for c in range(0x80) if not chr(c).isalnum()) + "]+"
 BASE = {
     "gnu general public license": "gpl",
