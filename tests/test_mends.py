@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from millwright.functions.clock import moment
+from millwright.models import validate
 from millwright.models.score import score
 from millwright.models.train import Recipe, check_categories, fit_forest
 from millwright.operators.classification import confusion_matrix
@@ -83,3 +84,18 @@ def test_category_limit_is_exact(spark):
     check_categories(rows, ["c"], most=1000)
     with pytest.raises(ValueError):
         check_categories(rows, ["c"], most=999)
+
+
+def test_each_fold_is_scored_by_a_job_of_its_own(spark, monkeypatch):
+    rows = spark.range(300).select(
+        F.rand(1).alias("x"), (F.rand(2) < 0.4).cast("int").alias("label"), F.col("id").alias("k")
+    )
+    recipe = Recipe(numeric=["x"], categorical=[], label="label", trees=2, depth=2)
+    written, keep = [], validate.stored
+    monkeypatch.setattr(validate, "stored", lambda df, name: written.append(keep(df, name)) or written[-1])
+    found = validate.fold_scores(rows, recipe, ["k"], folds=3, train_scores=True)
+    # A job over several folds would unpack all of their models in each task.
+    assert sorted([r.fold for r in df.select("fold").distinct().collect()] for df in written) == [[0], [1], [2]]
+    counts = {(r.fold, r.split): r["count"] for r in found.groupBy("fold", "split").count().collect()}
+    assert sum(n for (_, split), n in counts.items() if split == "test") == 300
+    assert all(counts[f, "test"] + counts[f, "train"] == 300 for f in range(3))
