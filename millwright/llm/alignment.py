@@ -38,19 +38,22 @@ class First:
     """The byte-level vocabulary: ids of a text, and the bytes of an id."""
 
     def __init__(self, path: str):
-        self.slow: Vocabulary = vocabulary(path)
-        special = set(self.slow.special.values())
-        ranks = {word: i for word, i in self.slow.ids.items() if i not in special}
+        self.path = path
+        # The merges and suffixes are for long runs only: a worker that meets none does not keep them.
+        read = Vocabulary(path)
+        special = set(read.special.values())
+        ranks = {word: i for word, i in read.ids.items() if i not in special}
         self.fast = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = [self.slow.bytes_of.get(i, b"") for i in range(max(self.slow.bytes_of) + 1)]
+        self.bytes_of = [read.bytes_of.get(i, b"") for i in range(max(read.bytes_of) + 1)]
+        self.cut = read.cut
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [self.one(t) for t in texts]
 
     def one(self, text: str) -> list[int]:
         # The fast encoder descends once for each character of a very long run.
-        if len(text) > LONGEST_RUN and max(map(len, self.slow.cut(text))) > LONGEST_RUN:
-            return np.frombuffer(next(encoded(self.slow, [text], True)), "<u4").tolist()
+        if len(text) > LONGEST_RUN and max(map(len, self.cut(text))) > LONGEST_RUN:
+            return np.frombuffer(next(encoded(vocabulary(self.path), [text], True)), "<u4").tolist()
         return self.fast.encode_ordinary(text)
 
 
@@ -196,8 +199,11 @@ def ids_of(cells: list[bytes]) -> np.ndarray:
 
 def pair_counts(rows: DataFrame, first: str, second: str) -> DataFrame:
     """``a, b, n``: in how many rows each pair of ids is linked."""
+    # Tasks that encode nothing get the identity map alone, not the vocabularies.
+    known = rows.sparkSession.sparkContext.broadcast(vocabularies(first, second).same)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        same = vocabularies(first, second).same
+        same = known.value
         vector = np.zeros(len(same), np.int64)
         out = lambda a, b, n: pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, n)], ["a", "b", "n"])
         for batch in batches:
@@ -284,7 +290,7 @@ def align_tokenizers(
     counted = written(pair_counts(rows, first, second), "pair-counts")
     # One row for each id of the first vocabulary.
     most = counted.groupBy("a").agg(F.max("n").alias("most"))
-    pairs = written(counted.join(F.broadcast(most), "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
+    pairs = counted.join(F.broadcast(most), "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
     linked = link_counts(rows, pairs, first, second, most_sent)
     slim = rows.drop("same", "same_n", "pair_a", "pair_b", "pair_n")
     return slim.join(linked, "row").select(

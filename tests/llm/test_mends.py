@@ -1,11 +1,12 @@
 """Repeated and null keys, clashing names and hot spans in the training-data operators."""
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millwright.llm import licences, mixing, neardup, neighbours, queries, repeats
+from millwright.llm import alignment, bpe, licences, mixing, neardup, neighbours, queries, repeats
 from millwright.session import spread
 
 BASE = [f"w{i}" for i in range(60)]
@@ -214,3 +215,22 @@ def test_listed_characters_make_the_words_of_the_ranges(spark):
     cut = lambda pattern: F.regexp_extract_all("text", F.lit(pattern), 0)
     for row in df.select(cut(licences.WORD).alias("ranges"), cut(licences.LISTED_WORD).alias("listed")).collect():
         assert row.ranges == row.listed
+
+
+def test_alignment_keeps_no_merges_before_a_long_run():
+    bpe.vocabulary.cache_clear()
+    first = alignment.First(public_tokenizers.path("byte_bpe_50k.json"))
+    first.encode([" plain words " * 2000])
+    assert bpe.vocabulary.cache_info().currsize == 0
+    long = " " + "ab" * alignment.LONGEST_RUN
+    assert b"".join(first.bytes_of[i] for i in first.one(long)) == long.encode()
+    assert bpe.vocabulary.cache_info().currsize == 1
+
+
+def test_alignment_writes_each_pair_once(spark, monkeypatch):
+    names, keep = [], alignment.written
+    monkeypatch.setattr(alignment, "written", lambda df, name: names.append(name) or keep(df, name))
+    docs = spark.createDataFrame([(1, "a few plain words"), (2, "a few other words")], "doc_id long, text string")
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    assert alignment.align_tokenizers(docs, *paths).count() == 2
+    assert names == ["alignments", "pair-counts"]
