@@ -308,6 +308,14 @@ def test_learning_curve_reads_a_table_once_for_its_sample(spark, fused):
     assert points.count() == 8 and seen.value == 2 * fused.count()
 
 
+def test_learning_curve_takes_all_rows_unless_told_otherwise(spark, fused):
+    rows = fused.crossJoin(spark.range(13).select(F.col("id").alias("copy"))).withColumn("id", F.col("copy") * 900 + F.col("id"))
+    points = learning_curve(rows, Recipe(trees=1, depth=2), ["id"], folds=2, fractions=[0.5, 1.0]).collect()
+    whole = {r.fold: r.size for r in points if r.fraction == 1.0}
+    assert sum(whole.values()) == 13 * 900
+    assert all(r.size == whole[r.fold] // 2 for r in points if r.fraction == 0.5)
+
+
 def test_failing_attributions_leave_the_other_reports(spark, fused, monkeypatch):
     from millwright.plans import evaluation
 

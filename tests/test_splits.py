@@ -9,6 +9,7 @@ import pytest
 from millwright.operators.splits import (
     class_weights,
     fixed_sample,
+    prefix_sizes,
     size_fractions,
     stratified_split,
     with_class_weight,
@@ -74,6 +75,11 @@ def test_prefixes_are_nested_and_sized(labelled):
         with_prefix_step(labelled.limit(3), ["k"], size_fractions())
 
 
+def test_prefixes_of_many_rows_lose_none():
+    for rows in (10, 41_943_050, 172_800_000):
+        assert prefix_sizes(rows, size_fractions()) == [i * rows // 10 for i in range(1, 11)]
+
+
 def test_sample_is_fixed(labelled):
     a = {r.k for r in fixed_sample(labelled, ["k"], 100).collect()}
     b = {r.k for r in fixed_sample(labelled.repartition(3), ["k"], 100).collect()}
