@@ -253,6 +253,23 @@ def test_streamed_rows_keep_their_key_and_a_restart_repeats_nothing(spark, fused
     assert spark.read.parquet(target).count() == 900
 
 
+def test_streamed_batches_of_large_files_are_dealt_over_the_cores(spark, fused, monkeypatch, tmp_path):
+    from millwright.streaming import scoring
+
+    model, schema, cores = fit_forest(fused, Recipe(**SMALL)), request_schema([fused.schema["id"]]), spark.sparkContext.defaultParallelism
+    lines = fused.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    lines.coalesce(1).write.parquet(str(tmp_path / "in"))
+    files = {}
+    for least in (901, 900):
+        monkeypatch.setattr(scoring, "SPREAD_ROWS", least)
+        target = str(tmp_path / f"out-{least}")
+        score_stream_by_batch(request_stream(spark, str(tmp_path / "in"), schema), model, target, str(tmp_path / f"state-{least}")).awaitTermination()
+        got = spark.read.parquet(target).drop("batch")
+        files[least] = len(list((tmp_path / f"out-{least}").glob("*/*.parquet")))
+        assert got.count() == 900 and got.exceptAll(score(lines, model)).isEmpty()
+    assert files[901] == 1 and files[900] > cores
+
+
 def test_cross_validation_reduces_to_the_same_metrics(spark, fused):
     recipe = Recipe(**SMALL)
     metrics = {(r.fold, r.metric): r.value for r in cross_validate(fused, recipe, ["id"]).collect()}
