@@ -270,6 +270,42 @@ def test_streamed_batches_of_large_files_are_dealt_over_the_cores(spark, fused,
     assert files[901] == 1 and files[900] > cores
 
 
+def test_large_tables_in_few_splits_are_scored_by_all_cores(spark, fused, monkeypatch):
+    from millwright.models import score as scoring
+
+    model, one = fit_forest(fused, Recipe(**SMALL)), fused.coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert scoring.score_spread(one, model).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(scoring, "SPREAD_ROWS", 900)
+    even = fused.repartition(cores)
+    assert scoring.score_spread(even, model).rdd.getNumPartitions() == cores
+    dealt = scoring.score_spread(one, model)
+    assert dealt.rdd.getNumPartitions() > cores
+    assert sorted(dealt.collect()) == sorted(score(fused, model).collect())
+    part, seen = counted(spark, one.filter("id % 5 = 0"))
+    found = scoring.score_spread(part, model, like=one)
+    # The table tells how the part lies: the part itself is gone through only to be scored.
+    assert seen.value == 0 and found.count() == 180 and found.rdd.getNumPartitions() > cores
+
+
+def test_evaluation_and_holdout_deal_large_splits_over_the_cores(spark, fused, monkeypatch):
+    from millwright.models import score as scoring
+    from millwright.plans import evaluation, training
+
+    monkeypatch.setattr(scoring, "SPREAD_ROWS", 900)
+    dealt, spread = [], scoring.spread
+
+    def noted(*args):
+        dealt.append(spread(*args).rdd.getNumPartitions())
+        return spread(*args)
+
+    monkeypatch.setattr(scoring, "spread", noted)
+    one = fused.coalesce(1)
+    evaluation.evaluate(one, fit_forest(fused, Recipe(**SMALL)), ["id"], ["id"])
+    training.train_with_holdout(one, ["id"], "machine_failure", exclude=["id"], **SMALL)
+    assert len(dealt) == 2 and min(dealt) > spark.sparkContext.defaultParallelism
+
+
 def test_cross_validation_reduces_to_the_same_metrics(spark, fused):
     recipe = Recipe(**SMALL)
     metrics = {(r.fold, r.metric): r.value for r in cross_validate(fused, recipe, ["id"]).collect()}
